@@ -1,2 +1,2 @@
 """Registers all queries."""
-from tallywatch.plans import q_marts, q_detect  # noqa: F401
+from tallywatch.plans import q_marts, q_detect, q_facts  # noqa: F401

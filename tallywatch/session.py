@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,23 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def build(master: str | None = None, shuffle_partitions: int | None = None, **conf: str) -> SparkSession:
+    """A session with the settings this engine wants. On a cluster, master and partitions come from spark-submit."""
+    builder = (SparkSession.builder.appName("tallywatch")
+               .config("spark.sql.session.timeZone", "UTC")
+               .config("spark.sql.adaptive.enabled", "true")
+               .config("spark.sql.adaptive.skewJoin.enabled", "true")
+               # Recording a Python call site for every column multiplies the time to build large plans.
+               .config("spark.python.sql.dataFrameDebugging.enabled", "false"))
+    if master:
+        builder = builder.master(master)
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    for key, value in conf.items():
+        builder = builder.config(key, value)
+    return builder.getOrCreate()
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediates, as the cluster names it.
 
@@ -32,16 +50,22 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Compute once and cut the lineage with a reliable checkpoint that outlives executors."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Compute once, write to the shared folder and read back.
 
+    This cuts the lineage with something that outlives executors, and the written files tell the planner their real
+    size, so later joins choose their strategy from it.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/settled/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
-def small_side(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """A join side that is broadcast only after its size was measured.
 
-    The side is computed once. Within `max_rows` it is broadcast; beyond that it stays a shuffled side, so a plan
-    with far more episodes than expected still runs.
-    """
-    done = settle(df)
-    return F.broadcast(done) if done.count() <= max_rows else done
+def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
+    """A hint to broadcast, given only after the rows were counted. Beyond the bound the side is shuffled."""
+    return F.broadcast(df) if df.count() <= max_rows else df
+
+
+def small_side(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
+    """A join side computed once, and broadcast only if its measured size allows it."""
+    return broadcast_if_small(settle(df), max_rows)

@@ -4,9 +4,9 @@ The same definitions stand in `plans/oracle.py` as SQL. See FIXTURES.md.
 """
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywatch.operators import marts, staging
@@ -17,138 +17,117 @@ ENTITIES = {"A": "0xaaaa", "N": "0xbbbb", "R": "0xcccc"}
 EPOCH = "1995-01-01"
 
 
-def _day_number(day: Column) -> Column:
-    return F.datediff(day, F.lit(EPOCH).cast("date")).cast("long")
+# SQL text keeps each view to one call into the JVM.
+DAY = f"datediff(date, date'{EPOCH}')"
+MOMENT = f"""cast(date as timestamp_ntz) + make_dt_interval(0, cast(hour as int),
+             case when hour = 23 and {DAY} % 29 <> 0 then 55 else 0 end)"""
 
 
-def _moment(day: Column, hour: Column) -> Column:
-    """Midnight plus the hour; the last hour of most days ends at 23:55."""
-    minute = F.when((hour == 23) & (_day_number(day) % 29 != 0), 55).otherwise(0)
-    return day.cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), hour.cast("int"), minute.cast("int"))
+def _written(key: str) -> str:
+    """Most rows are written two hours later; some days partly, and others wholly, days later."""
+    return (f"moment + make_dt_interval(0, case when {DAY} % 41 = 0 then 90 "
+            f"when {DAY} % 13 = 0 and {key} % 2 = 0 then 60 else 2 end) as last_modified")
 
 
-def _plus_hours(ts: Column, hours: Column) -> Column:
-    return ts + F.make_dt_interval(F.lit(0), hours.cast("int"))
-
-
-def _word(number: Column, width: int) -> Column:
-    return F.concat(F.lit("0x"), F.lpad(number.cast("string"), width, "0"))
-
-
-@dataclass
 class Raw:
     """The raw tables and the daily marts built from them."""
-    spark: SparkSession
-    sf_dir: str
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
-    @property
+    @cached_property
     def transfers(self) -> DataFrame:
-        day = F.to_date("l_shipdate")
-        hour = F.col("l_partkey") % 24
-        zero = F.lit("0x" + "0" * 64)
-        lag = (F.when(_day_number(F.col("date")) % 41 == 0, 90)
-               .when((_day_number(F.col("date")) % 13 == 0) & (F.col("l_partkey") % 2 == 0), 60).otherwise(2))
         return (self.table("lineitem")
-                .select("*", day.alias("date"), _moment(day, hour).alias("moment"), hour.alias("hour"))
-                .select(
+                .selectExpr("*", "to_date(l_shipdate) as date", "l_partkey % 24 as hour")
+                .selectExpr("*", f"{MOMENT} as moment")
+                .selectExpr(
                     "date",
-                    _plus_hours(F.col("moment"), F.when(F.col("l_suppkey") % 97 == 0, 24).otherwise(0)).alias("block_timestamp"),
-                    (_day_number(F.col("date")) * 24 + F.col("hour")).alias("block_number"),
-                    F.col("l_linenumber").cast("long").alias("log_index"),
-                    F.col("l_orderkey").cast("string").alias("transaction_hash"),
-                    F.col("l_returnflag").alias("token"),
-                    F.when(F.col("l_suppkey") % 25 == 0, zero).otherwise(_word(F.col("l_suppkey"), 64)).alias("from_address"),
-                    F.when(F.col("l_partkey") % 40 == 7, zero).otherwise(_word(F.col("l_partkey"), 64)).alias("to_address"),
-                    F.when(F.col("l_linenumber") == 7, (F.col("l_partkey") % 100) / 100)
-                    .when(F.col("l_linenumber") == 6, F.col("l_quantity"))
-                    .otherwise(F.col("l_extendedprice")).cast("double").alias("amount"),
-                    _plus_hours(F.col("moment"), lag).alias("last_modified")))
-
-    @property
+                    "moment + make_dt_interval(0, case when l_suppkey % 97 = 0 then 24 else 0 end) as block_timestamp",
+                    f"cast({DAY} as bigint) * 24 + hour as block_number",
+                    "cast(l_linenumber as bigint) as log_index", "cast(l_orderkey as string) as transaction_hash",
+                    "l_returnflag as token",
+                    "concat('0x', lpad(if(l_suppkey % 25 = 0, '', cast(l_suppkey as string)), 64, '0')) as from_address",
+                    "concat('0x', lpad(if(l_partkey % 40 = 7, '', cast(l_partkey as string)), 64, '0')) as to_address",
+                    """cast(case l_linenumber when 7 then (l_partkey % 100) / 100 when 6 then l_quantity
+                            else l_extendedprice end as double) as amount""",
+                    _written("l_partkey")))
+
+    @cached_property
     def transactions(self) -> DataFrame:
-        day = F.to_date("o_orderdate")
-        hour = F.col("o_custkey") % 24
-        token = F.when(F.col("o_custkey") % 10 < 7, F.get(F.array(*map(F.lit, TOKENS)), (F.col("o_orderkey") % 3).cast("int")))
-        lag = (F.when(_day_number(F.col("date")) % 41 == 0, 90)
-               .when((_day_number(F.col("date")) % 13 == 0) & (F.col("o_custkey") % 2 == 0), 60).otherwise(2))
+        tokens = ", ".join(f"'{t}'" for t in TOKENS)
+        contract = " ".join(f"when '{t}' then '{a}'" for t, a in ENTITIES.items())
         return (self.table("orders")
-                .select("*", day.alias("date"), _moment(day, hour).alias("moment"), hour.alias("hour"),
-                        token.alias("direct_token"))
-                .select(
-                    "date", F.col("moment").alias("block_timestamp"),
-                    (_day_number(F.col("date")) * 24 + F.col("hour")).alias("block_number"),
-                    (F.col("o_orderkey") % 40).alias("transaction_index"),
-                    F.col("o_orderkey").cast("string").alias("hash"),
-                    _word(F.col("o_custkey"), 40).alias("from_address"),
-                    F.when(F.col("direct_token").isNull() | (F.col("o_orderkey") % 53 == 0), _word(F.col("o_orderkey"), 40))
-                    .otherwise(F.element_at(F.create_map(*[F.lit(x) for kv in ENTITIES.items() for x in kv]),
-                                            F.col("direct_token"))).alias("to_address"),
-                    "direct_token",
-                    F.when(F.col("o_orderstatus") == "F", 0).otherwise(1).cast("long").alias("receipt_status"),
-                    (21000 + 1000 * (F.col("o_custkey") % 4)).cast("long").alias("receipt_gas_used"),
-                    F.round(F.col("o_totalprice") * 1000000).cast("long").alias("receipt_effective_gas_price"),
-                    F.lit(2).cast("long").alias("transaction_type"),
-                    _plus_hours(F.col("moment"), lag).alias("last_modified")))
-
-    @property
+                .selectExpr("*", "to_date(o_orderdate) as date", "o_custkey % 24 as hour",
+                            f"case when o_custkey % 10 < 7 then get(array({tokens}), cast(o_orderkey % 3 as int)) end as direct_token")
+                .selectExpr("*", f"{MOMENT} as moment")
+                .selectExpr(
+                    "date", "moment as block_timestamp", f"cast({DAY} as bigint) * 24 + hour as block_number",
+                    "o_orderkey % 40 as transaction_index", "cast(o_orderkey as string) as hash",
+                    "concat('0x', lpad(cast(o_custkey as string), 40, '0')) as from_address",
+                    f"""case when direct_token is null or o_orderkey % 53 = 0
+                             then concat('0x', lpad(cast(o_orderkey as string), 40, '0'))
+                             else case direct_token {contract} end end as to_address""",
+                    "direct_token", "cast(if(o_orderstatus = 'F', 0, 1) as bigint) as receipt_status",
+                    "21000 + 1000 * (o_custkey % 4) as receipt_gas_used",
+                    "cast(round(o_totalprice * 1000000) as bigint) as receipt_effective_gas_price",
+                    "cast(2 as bigint) as transaction_type", _written("o_custkey")))
+
+    @cached_property
     def blocks(self) -> DataFrame:
-        number = F.col("number")
-        wrong_day = F.when(number % 3001 == 11, 24).otherwise(0)
-        backwards = F.when(number % 1709 == 9, -2).otherwise(0)
-        return (self.table("lineitem").select(F.to_date("l_shipdate").alias("date")).distinct()
-                .withColumn("hour", F.explode(F.sequence(F.lit(0), F.lit(23))))
-                .withColumn("number", _day_number(F.col("date")) * 24 + F.col("hour"))
-                .where(number % 1009 != 3)
-                .withColumn("copy", F.explode(F.sequence(F.lit(1), F.when(number % 2003 == 5, 2).otherwise(1))))
-                .select(
-                    "date", "number", F.md5(number.cast("string")).alias("hash"),
-                    F.when(number % 1511 == 7, "bad").otherwise(F.md5((number - 1).cast("string"))).alias("parent_hash"),
-                    _plus_hours(_moment(F.col("date"), F.col("hour")), wrong_day + backwards).alias("timestamp"),
-                    F.lit(38).cast("long").alias("transaction_count"),
-                    (15000000 + (number % 100) * 100000).alias("gas_used"),
-                    F.lit(24850000).cast("long").alias("gas_limit"),
-                    (F.lit(20000000000) + (number * 7919 % 1000) * 100000000).cast("long").alias("base_fee_per_gas"),
-                    _plus_hours(_moment(F.col("date"), F.col("hour")),
-                                F.when(_day_number(F.col("date")) % 41 == 0, 72).otherwise(1)).alias("last_modified")))
-
-    @property
+        """A block an hour on every day that has line items, with planted gaps, copies and broken links."""
+        return (self.table("lineitem").selectExpr("to_date(l_shipdate) as date").distinct()
+                .selectExpr("date", "explode(sequence(0, 23)) as hour")
+                .selectExpr("date", f"cast({DAY} as bigint) * 24 + hour as number", f"{MOMENT} as moment")
+                .where("number % 1009 <> 3")
+                .selectExpr("*", "explode(sequence(1, if(number % 2003 = 5, 2, 1))) as copy")
+                .selectExpr(
+                    "date", "number", "md5(cast(number as string)) as hash",
+                    "if(number % 1511 = 7, 'bad', md5(cast(number - 1 as string))) as parent_hash",
+                    """moment + make_dt_interval(0, if(number % 3001 = 11, 24, 0) + if(number % 1709 = 9, -2, 0))
+                       as timestamp""",
+                    "cast(38 as bigint) as transaction_count", "15000000 + (number % 100) * 100000 as gas_used",
+                    "cast(24850000 as bigint) as gas_limit",
+                    "20000000000 + (number * 7919 % 1000) * 100000000 as base_fee_per_gas",
+                    f"moment + make_dt_interval(0, if({DAY} % 41 = 0, 72, 1)) as last_modified"))
+
+    @cached_property
     def calls(self) -> DataFrame:
         """The event stream as a day-partitioned call log."""
-        return self.table("events").select(
-            F.to_date("ts").alias("date"), F.col("ts").alias("block_timestamp"),
-            F.get(F.array(*map(F.lit, TOKENS)), (F.col("user_id") % 3).cast("int")).alias("token"),
-            F.col("user_id").alias("sender"), (F.col("event_type") == "error").alias("failed"),
-            F.get_json_object("props", "$.k").cast("long").alias("gas"), F.col("value").alias("amount"),
-            F.col("event_id").alias("number"))
-
-    @property
+        tokens = ", ".join(f"'{t}'" for t in TOKENS)
+        return self.table("events").selectExpr(
+            "to_date(ts) as date", "ts as block_timestamp",
+            f"get(array({tokens}), cast(user_id % 3 as int)) as token", "user_id as sender",
+            "event_type = 'error' as failed", "cast(get_json_object(props, '$.k') as bigint) as gas", "value as amount",
+            "event_id as number")
+
+    @cached_property
     def sources(self) -> dict[str, DataFrame]:
         # The file a row came from is only known at the scan; here each source is one file.
         return {"token_transfers": self.transfers.withColumn("file_name", F.lit("lineitem.parquet")),
                 "transactions": self.transactions.withColumn("file_name", F.lit("orders.parquet")),
                 "blocks": self.blocks.withColumn("file_name", F.lit("lineitem.parquet"))}
 
-    @property
+    @cached_property
     def load(self) -> DataFrame:
         return marts.load_manifest(self.sources)
 
-    @property
+    @cached_property
     def listing(self) -> DataFrame:
         return listing(self.sources)
 
     # Daily marts
 
-    @property
+    @cached_property
     def payments(self) -> DataFrame:
         return marts.mart_payments(staging.transfers(self.transfers), staging.transactions(self.transactions), distinct=None)
 
-    @property
+    @cached_property
     def health(self) -> DataFrame:
         return marts.mart_health(staging.transactions(self.transactions))
 
-    @property
+    @cached_property
     def pipeline(self) -> DataFrame:
         return marts.mart_pipeline(staging.blocks(self.blocks), staging.transfers(self.transfers), staging.load(self.load))
