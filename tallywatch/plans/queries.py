@@ -1,2 +1,2 @@
 """Registers all queries."""
-from tallywatch.plans import q_marts, q_detect, q_facts, q_verdicts  # noqa: F401
+from tallywatch.plans import q_marts, q_detect, q_facts, q_verdicts, q_gates  # noqa: F401
