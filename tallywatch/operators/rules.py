@@ -93,10 +93,6 @@ def rules_blocks(bl: DataFrame) -> DataFrame:
     return days.select("date", "checked", F.explode("c").alias("c")).select("date", "checked", "c.*")
 
 
-def _catalogue(spark) -> DataFrame:
-    return spark.createDataFrame([(i, *r) for i, r in enumerate(ROW_RULES)], "rule_order int, check string, table string, fault string")
-
-
 def rules_daily(tr: DataFrame, tx: DataFrame, bl: DataFrame, entities: dict[str, str] | None = None) -> DataFrame:
     """One row per rule and day, clean days included, so a zero always says how many rows were checked."""
     tx, bl = (df.withColumn("month_of", month_key(F.col("date"))) for df in (tx, bl))
