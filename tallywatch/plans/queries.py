@@ -1,2 +1,2 @@
 """Registers all queries."""
-from tallywatch.plans import q_marts, q_detect, q_facts, q_verdicts, q_gates, q_deep  # noqa: F401
+from tallywatch.plans import q_marts, q_detect, q_facts, q_verdicts, q_gates, q_deep, q_metrics, q_sources  # noqa: F401
