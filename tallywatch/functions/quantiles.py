@@ -47,8 +47,11 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: Column, probs: list[f
     """
     by = groups or keys
     n = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    counts = (df.where(value.isNotNull()).groupBy(*keys, value.cast("double").alias("v"))
-              .agg(n.alias("n")).withColumn("bucket", value_bucket(F.col("v"))))
+    # The joins below imply that keys, value and bucket are not null. Saying so here keeps both uses of the counts one
+    # plan, so they are shuffled once and the exchange is reused.
+    present = " and ".join(f"{c} is not null" for c in [*keys, "v", "bucket"])
+    rows = df.withColumn("v", value.cast("double")).withColumn("bucket", value_bucket(F.col("v"))).where(present)
+    counts = rows.groupBy(*keys, "bucket", "v").agg(n.alias("n"))
 
     cells = counts.groupBy(*keys, "bucket").agg(F.sum("n").alias("n"))
     if within is not None:

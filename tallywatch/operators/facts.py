@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tallywatch.fixed_values import LATE_HOURS, MIN_CALLS, ZERO40
 from tallywatch.functions.quantiles import exact_quantiles
+from tallywatch.session import settle
 
 LATE = (f"cast(cast(last_modified as timestamp) as bigint) - cast(cast(block_timestamp as timestamp) as bigint) "
         f"> {LATE_HOURS} * 3600")
@@ -112,7 +113,8 @@ def absent_senders(senders: DataFrame) -> DataFrame:
 
 
 def facts_failure(days: DataFrame, tx: DataFrame) -> DataFrame:
-    by_gas = calls_by_sender_gas(days, tx)
+    # Written once: every part below reads these reduced rows instead of the raw ones.
+    by_gas = settle(calls_by_sender_gas(days, tx))
     senders = calls_by_sender(by_gas)
     out = _episodes_of(days, "failure_rate").drop("nb")
     for part in (regular_and_new(senders), fingerprint(by_gas), concentration(senders), always_failing(senders),
@@ -173,7 +175,7 @@ def empty_hours(days: DataFrame, tr: DataFrame, least: int = 10) -> DataFrame:
 
 
 def facts_transfers(days: DataFrame, tr: DataFrame) -> DataFrame:
-    per_day = sends(days, tr)
+    per_day = settle(sends(days, tr))
     senders = sends_by_sender(per_day)
     out = _episodes_of(days, "transfers").drop("nb")
     for part in (counts_and_dust(per_day), new_senders(senders), top_senders(per_day), lost_top50(senders),
@@ -211,57 +213,64 @@ def top_value(days: DataFrame, tr: DataFrame) -> DataFrame:
     return out
 
 
-def median_amounts(days: DataFrame, tr: DataFrame) -> DataFrame:
-    rows = _moves(days, tr, "volume")
-    q = exact_quantiles(rows, ["episode_id", "is_peak"], F.col("amount"), [0.5])
-    return q.groupBy("episode_id").agg(*aggs(
-        "max(q[0]) filter (where is_peak) as median_amount", "max(q[0]) filter (where not is_peak) as median_amount_baseline"))
+QUARTILES = [0.25, 0.5, 0.75]
 
 
-def facts_volume(days: DataFrame, tr: DataFrame) -> DataFrame:
-    out = _episodes_of(days, "volume").drop("nb")
-    for part in (supply_and_holders(days, tr), top_value(days, tr), median_amounts(days, tr), units_shift(days, tr)):
-        out = out.join(part, "episode_id", "left")
-    return out.fillna(0, ["transfers", "minted", "burned"])
-
+def amount_quartiles(days: DataFrame, tr: DataFrame, scale=None) -> tuple[DataFrame, DataFrame]:
+    """Quartiles of the amounts: over the comparable days, and on the peak before and after each cut hour.
 
-def units_shift(days: DataFrame, tr: DataFrame, tol: float = 0.2, least: int = 30, scale=None) -> DataFrame:
-    """Did amounts change by a power of ten from some hour on?
-
-    For every cut hour the quartiles after it must all sit at the same power of ten of the usual quartiles, and those
-    before it must be unchanged (`scale` multiplies amounts first; it plants faults). The 47 overlapping groups per episode are built from hourly histograms, so raw rows
-    are read once and not multiplied. The best fit wins, the earliest cut on a tie.
+    The 47 overlapping groups per episode are built from hourly histograms, so raw rows are read once and not
+    multiplied. `scale` multiplies amounts first (it plants faults).
     """
-    quartiles = [0.25, 0.5, 0.75]
-    rows = _moves(days, tr, "volume").select(
-        "episode_id", "is_peak", F.expr("hour(block_timestamp)").alias("hour"),
-        (F.col("amount") if scale is None else F.col("amount") * scale).alias("amount"))
-    base = (exact_quantiles(rows.where("not is_peak"), ["episode_id"], F.col("amount"), quartiles)
-            .where("array_min(q) > 0").selectExpr("episode_id", "q as usual"))
-    peak = rows.where("is_peak")
+    amount = F.col("amount") if scale is None else F.col("amount") * scale
+    rows = _moves(days, tr, "volume").select("episode_id", "is_peak", F.expr("hour(block_timestamp)").alias("hour"), amount.alias("amount"))
+    base = exact_quantiles(rows.where("not is_peak"), ["episode_id"], F.col("amount"), QUARTILES).selectExpr("episode_id", "q as usual")
 
     def around_cuts(cells: DataFrame) -> DataFrame:
         return (cells.withColumn("cut", F.explode(F.expr("sequence(0, 23)")))
                 .withColumn("tail", F.expr("hour >= cut")))
 
-    parts = exact_quantiles(peak, ["episode_id", "hour"], F.col("amount"), quartiles, within=around_cuts,
+    parts = exact_quantiles(rows.where("is_peak"), ["episode_id", "hour"], F.col("amount"), QUARTILES, within=around_cuts,
                             groups=["episode_id", "cut", "tail"])
+    cuts = parts.groupBy("episode_id", "cut").agg(*aggs(
+        "max(q) filter (where tail) as tail_q", "max(q) filter (where not tail) as head_q", "max(total) filter (where tail) as n_tail"))
+    return base, cuts
+
+
+def median_amounts(base: DataFrame, cuts: DataFrame) -> DataFrame:
+    """The middle quartile: of the whole peak (everything from hour 0 on) and of the comparable days."""
+    peak = cuts.where("cut = 0").selectExpr("episode_id", "tail_q[1] as median_amount")
+    return peak.join(base.selectExpr("episode_id", "usual[1] as median_amount_baseline"), "episode_id", "full")
+
+
+def units_shift(base: DataFrame, cuts: DataFrame, tol: float = 0.2, least: int = 30) -> DataFrame:
+    """Did amounts change by a power of ten from some hour on?
+
+    For every cut hour the quartiles after it must all sit at the same power of ten of the usual quartiles, and those
+    before it must be unchanged. The best fit wins, the earliest cut on a tie.
+    """
     logs = "transform(arrays_zip({q}, usual), z -> if(z.{q} > 0, log10(z.{q} / z.usual), null))"
-    cuts = (parts.groupBy("episode_id", "cut").agg(*aggs(
-        "max(q) filter (where tail) as tail_q", "max(q) filter (where not tail) as head_q",
-        "max(total) filter (where tail) as n_tail")).join(base, "episode_id")
-        .withColumn("n", F.max(F.expr("if(cut = 0, n_tail, null)")).over(Window.partitionBy("episode_id")))
-        .where(f"tail_q is not null and n_tail >= greatest({least}, 0.03 * n)")
-        .withColumn("t", F.expr(logs.format(q="tail_q")))
-        .withColumn("h", F.expr(f"if(cut = 0, array(0.0D), {logs.format(q='head_q')})"))
-        .withColumn("k", F.expr("cast(bround(array_sort(t)[1]) as int)"))
-        .where(f"k <> 0 and forall(t, x -> coalesce(abs(x - k) < {tol}, false)) "
-               f"and forall(h, x -> coalesce(abs(x) < {tol}, false))")
-        .withColumn("fit", F.expr("array_max(transform(t, x -> abs(x - k))) + array_max(transform(h, x -> abs(x)))")))
-    return (cuts.groupBy("episode_id").agg(F.expr("min_by(struct(k, cut), struct(fit, cut)) as best"))
+    fits = (cuts.join(base.where("array_min(usual) > 0"), "episode_id")
+            .withColumn("n", F.max(F.expr("if(cut = 0, n_tail, null)")).over(Window.partitionBy("episode_id")))
+            .where(f"tail_q is not null and n_tail >= greatest({least}, 0.03 * n)")
+            .withColumn("t", F.expr(logs.format(q="tail_q")))
+            .withColumn("h", F.expr(f"if(cut = 0, array(0.0D), {logs.format(q='head_q')})"))
+            .withColumn("k", F.expr("cast(bround(array_sort(t)[1]) as int)"))
+            .where(f"k <> 0 and forall(t, x -> coalesce(abs(x - k) < {tol}, false)) "
+                   f"and forall(h, x -> coalesce(abs(x) < {tol}, false))")
+            .withColumn("fit", F.expr("array_max(transform(t, x -> abs(x - k))) + array_max(transform(h, x -> abs(x)))")))
+    return (fits.groupBy("episode_id").agg(F.expr("min_by(struct(k, cut), struct(fit, cut)) as best"))
             .selectExpr("episode_id", "best.k as units_shift_power", "best.cut as units_shift_from_hour"))
 
 
+def facts_volume(days: DataFrame, tr: DataFrame) -> DataFrame:
+    base, cuts = (settle(df) for df in amount_quartiles(days, tr))   # a few rows per episode
+    out = _episodes_of(days, "volume").drop("nb")
+    for part in (supply_and_holders(days, tr), top_value(days, tr), median_amounts(base, cuts), units_shift(base, cuts)):
+        out = out.join(part, "episode_id", "left")
+    return out.fillna(0, ["transfers", "minted", "burned"])
+
+
 # Is the data itself in doubt?
 
 def _rows_in_doubt(rows: DataFrame, key: str) -> DataFrame:

@@ -97,14 +97,16 @@ def load_manifest(sources: dict[str, DataFrame]) -> DataFrame:
     The three sources share one aggregation, so its shuffles are not tripled.
     """
     rows = _stacked(sources)
-    sums = rows.groupBy("source_table", "date").agg(
-        F.count(F.lit(1)).alias("rows"), F.size(F.collect_set("file_name")).cast("long").alias("files"),
-        F.min("block").alias("min_block"), F.max("block").alias("max_block"),
-        F.min("written").alias("first_written"), F.max("written").alias("last_written"), F.max("lag").alias("max_lag_s"))
-    medians = exact_quantiles(rows, ["source_table", "date"], F.col("lag"), [0.5])
-    return sums.join(medians, ["source_table", "date"], "left").select(
-        "source_table", "date", "rows", "files", "min_block", "max_block", "first_written", "last_written",
-        F.get("q", F.lit(0)).alias("median_lag_s"), "max_lag_s")
+    # Lags are whole seconds: per file and lag a day shrinks to at most as many rows as there are seconds between its
+    # first and last write, so the weighted median is bounded by time and not by the number of rows.
+    per_lag = rows.groupBy("source_table", "date", "file_name", "lag").agg(
+        F.count(F.lit(1)).alias("n"), F.min("block").alias("b0"), F.max("block").alias("b1"),
+        F.min("written").alias("w0"), F.max("written").alias("w1"))
+    return per_lag.groupBy("source_table", "date").agg(
+        F.sum("n").alias("rows"), F.size(F.collect_set("file_name")).cast("long").alias("files"),
+        F.min("b0").alias("min_block"), F.max("b1").alias("max_block"), F.min("w0").alias("first_written"),
+        F.max("w1").alias("last_written"), F.percentile("lag", F.lit(0.5), F.col("n")).alias("median_lag_s"),
+        F.max("lag").alias("max_lag_s"))
 
 
 def _stacked(sources: dict[str, DataFrame]) -> DataFrame:

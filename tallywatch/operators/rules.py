@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tallywatch.fixed_values import ENTITY_ADDRESSES, ROW_RULES
 from tallywatch.functions.columns import address_of, month_key
+from tallywatch.session import settle
 
 NUMBERS_PER_CHUNK = 10_000
 
@@ -96,11 +97,11 @@ def rules_blocks(bl: DataFrame) -> DataFrame:
 def rules_daily(tr: DataFrame, tx: DataFrame, bl: DataFrame, entities: dict[str, str] | None = None) -> DataFrame:
     """One row per rule and day, clean days included, so a zero always says how many rows were checked."""
     tx, bl = (df.withColumn("month_of", month_key(F.col("date"))) for df in (tx, bl))
-    found = reduce(DataFrame.unionByName, [
+    found = settle(reduce(DataFrame.unionByName, [
         rules_transfers(tr, tx, bl), rules_transactions(tx, bl, entities or ENTITY_ADDRESSES), rules_blocks(bl),
         _repeats(tr, ["block_number", "log_index"], "concat(block_number, ':', log_index)", "repeated log index in a block"),
         _repeats(tx, ["block_number", "transaction_index"], "concat(block_number, ':', transaction_index)",
-                 "repeated transaction index in a block")])
+                 "repeated transaction index in a block")]))   # written: a few rows per day, read three times below
     # Rules and days: one small row each. Every day is paired with every rule by a single exploded list.
     rules = F.expr("array(" + ", ".join("struct('{}' as check, '{}' as table, '{}' as fault)".format(
         c.replace("'", "\\'"), t, f) for c, t, f in ROW_RULES) + ")")

@@ -222,7 +222,7 @@ def _(raw: Raw):
 
 @query("median_amounts", "select * from z_med", rounds="median_amount median_amount_baseline")
 def _(raw: Raw):
-    return facts.median_amounts(detected(raw).days, raw.transfers)
+    return facts.median_amounts(*facts.amount_quartiles(detected(raw).days, raw.transfers))
 
 
 @query("facts_volume", """
@@ -260,7 +260,8 @@ piece("z_ufit", """
     group by 1""")
 def _(raw: Raw):
     shifted = raw.transfers.withColumn("even", F.expr("datediff(date, date'1995-01-01') % 2 = 0 and hour(block_timestamp) >= 12"))
-    return facts.units_shift(detected(raw).days, shifted, tol=0.45, least=3, scale=F.expr("if(is_peak and even, 1000, 1)"))
+    parts = facts.amount_quartiles(detected(raw).days, shifted, scale=F.expr("if(is_peak and even, 1000, 1)"))
+    return facts.units_shift(*parts, tol=0.45, least=3)
 
 
 piece("z_inrows", """
