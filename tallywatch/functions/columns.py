@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywatch.fixed_values import AMOUNT_BANDS, LATE_HOURS, ROUTES, ZERO40
@@ -89,3 +89,19 @@ def entity_of(address: Column, entities: dict[str, str]) -> Column:
 def address_of(entity: Column, entities: dict[str, str]) -> Column:
     return reduce(lambda rest, item: F.when(entity == item[0], item[1]).otherwise(rest),
                   reversed(list(entities.items())), F.lit(None).cast("string"))
+
+
+def single(one_row: DataFrame) -> Column:
+    """A one-row frame as a value: a scalar subquery, so no join carries it. Several columns come as a struct."""
+    if len(one_row.columns) > 1:
+        one_row = one_row.select(F.struct(*one_row.columns).alias("s"))
+    return one_row.scalar()
+
+
+def beside(first: DataFrame, *others: DataFrame) -> DataFrame:
+    """One-row frames side by side as one row."""
+    for other in others:
+        names = other.columns
+        value = other.select(F.struct(*names).alias("s")).scalar()
+        first = first.withColumn("other", value).select(*first.columns, *[F.col("other")[n].alias(n) for n in names])
+    return first

@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywatch.fixed_values import BIG_SUPPLY_AMOUNT, REWRITE_SAMPLE, SPIKE_BASELINE_DAYS, WEI_PER_GWEI, ZERO40
-from tallywatch.functions.columns import is_zero, last40, minutes_crossed
+from tallywatch.functions.columns import beside, is_zero, last40, minutes_crossed, single
 from tallywatch.functions.quantiles import exact_quantiles
 from tallywatch.operators.facts import LATE, aggs
-from tallywatch.session import broadcast_if_small
+from tallywatch.session import small_side
 
 CASE = ["date", "token", "spike_day"]
 PCT = "round(100.0D * try_divide({}, {}), {})"
@@ -35,7 +35,7 @@ def case_calls(tx: DataFrame, days: DataFrame, tokens: list[str]) -> DataFrame:
     rows = tx.where(F.col("direct_token").isin(tokens)).selectExpr(
         "date", "block_timestamp", "hash", "from_address as sender", "direct_token as token", "receipt_status = 1 as succeeded",
         "receipt_gas_used as gas_used", f"receipt_effective_gas_price / {WEI_PER_GWEI} as gas_price_gwei", f"{LATE} as late")
-    return rows.join(broadcast_if_small(days), "date")
+    return rows.join(small_side(days), "date")
 
 
 def context(health: DataFrame, payments: DataFrame, pipeline: DataFrame, spikes: DataFrame, tokens: list[str], last: str,
@@ -43,7 +43,7 @@ def context(health: DataFrame, payments: DataFrame, pipeline: DataFrame, spikes:
     first = spikes.agg(F.date_sub(F.min("date"), before).alias("first"))   # one row
     moved = payments.groupBy("date", "token").agg(*aggs(
         "sum(transfers) as transfers", "sum(transfers) filter (where amount_band = 'under 10') as transfers_under_10"))
-    return (health.where(F.col("token").isin(tokens)).crossJoin(F.broadcast(first))
+    return (health.where(F.col("token").isin(tokens)).withColumn("first", single(first))
             .where(f"date >= first and date <= date'{last}'")
             .join(moved, ["date", "token"], "left").join(pipeline.select("date", "avg_base_fee_gwei"), "date", "left")
             .selectExpr("date", "token", "direct_calls", "failed_calls", "round(100 * failure_rate, 3) as pct_failed", "transfers",
@@ -114,7 +114,7 @@ def sender_profile(senders: DataFrame) -> DataFrame:
 def known_and_new(senders: DataFrame, recent: int = 6) -> DataFrame:
     """Failure rates of known and new senders on spike days and the last baseline days."""
     last = senders.where("not spike_day").agg(F.date_sub(F.max("date"), recent).alias("since"))   # one row
-    rows = with_known(senders).crossJoin(F.broadcast(last)).where("spike_day or date >= since")
+    rows = with_known(senders).withColumn("since", single(last)).where("spike_day or date >= since")
     f_known, c_known = "sum(failed) filter (where known)", "sum(calls) filter (where known)"
     f_new, c_new = "sum(failed) filter (where not known)", "sum(calls) filter (where not known)"
     return rows.groupBy(*CASE).agg(*aggs(
@@ -185,19 +185,19 @@ def case_kpis(spikes: DataFrame, ctx: DataFrame, known: DataFrame) -> DataFrame:
         "try_divide(sum(calls_new) filter (where calls_new is not null), sum(calls_new + coalesce(calls_known, 0))) as share_calls_new",
         """try_divide(sum(coalesce(calls_new * pct_failed_new, 0)), sum(coalesce(calls_new * pct_failed_new, 0)
            + coalesce(calls_known * pct_failed_known, 0))) as share_failures_new"""))
-    days = ctx.crossJoin(F.broadcast(peak))
+    days = ctx.withColumn("p", single(peak)).select("*", "p.peak_day", "p.first_spike")
     fees = days.agg(*aggs(
         "percentile(avg_base_fee_gwei, 0.5) filter (where date < first_spike) as fee_before",
         "percentile(avg_base_fee_gwei, 0.5) filter (where date = peak_day) as fee_at_peak",
         "percentile(pct_transfers_under_10, 0.5) filter (where date < first_spike) as small_before",
         "percentile(pct_transfers_under_10, 0.5) filter (where date = peak_day) as small_at_peak"))
-    return peak.crossJoin(new).crossJoin(fees)   # three single rows
+    return beside(peak, new, fees)
 
 
 # Value outliers
 
 def on_days(tr: DataFrame, outliers: DataFrame) -> DataFrame:
-    return tr.join(broadcast_if_small(outliers.select("date", "token")), ["date", "token"])
+    return tr.join(small_side(outliers.select("date", "token")), ["date", "token"])
 
 
 def supply_events(tr: DataFrame, least: float = BIG_SUPPLY_AMOUNT) -> DataFrame:
@@ -240,7 +240,7 @@ def mint_burn_match(events: DataFrame, tol: float = 1e-9, scale: float = 1e6) ->
     smaller = f"kind = 'mint' and {same} and {later} and {close(f'amount * {scale}D', 'big.amount')}"
     before = f"kind = 'burn' and {earlier} and {close(f'amount * {scale}D', 'big.amount')}"
     # As many rows as tokens: bounded by the events' own tokens, and measured before it is broadcast.
-    rows = events.join(broadcast_if_small(big), "token")
+    rows = events.join(small_side(big), "token")
     return rows.groupBy("token", "big").agg(*aggs(
         f"min(block_timestamp) filter (where {burn_back}) as burned_at", f"count_if({smaller}) as n_smaller",
         f"min(block_timestamp) filter (where {smaller}) as smaller_mint_at", f"count_if({before}) as n_before",
@@ -291,7 +291,7 @@ def rewrite_summary(patterns: DataFrame, blocks: DataFrame) -> DataFrame:
         "max(last_written_hours_after_day) as worst_hours"))
     partial = blocks.where("blocks_entirely_late < blocks_with_transfers and blocks_entirely_late > 0").agg(*aggs(
         "count(*) as partial_days", "max(blocks_entirely_late / blocks_with_transfers) as largest_partial_share"))
-    return days.crossJoin(tables).crossJoin(partial)   # three single rows
+    return beside(days, tables, partial)
 
 
 def late_rows(df: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tallywatch.fixed_values import (BASELINE_BACK_DAYS, BASELINE_DAYS, BASELINE_MAX_SCORE, BASELINE_MIN_DAYS,
                                      EPISODE_GAP_DAYS, LAG_FACTOR, MAX_EPISODES, WAVE_GAP_DAYS)
-from tallywatch.functions.columns import ratio
+from tallywatch.functions.columns import ratio, single
 
 SERIES = ["metric", "token", "direction"]
 
@@ -40,9 +40,9 @@ def episodes(flags: DataFrame, flagged: DataFrame | None = None, gap_days: int =
 
 
 def _with_usual_lag(pipeline: DataFrame) -> DataFrame:
-    """One row per day plus the median day's lag: one value, so joining it broadcasts a single row."""
+    """One row per day plus the median day's lag."""
     usual = pipeline.agg(F.percentile("max_load_lag_hours", F.lit(0.5)).alias("usual_lag"))
-    return pipeline.crossJoin(F.broadcast(usual))
+    return pipeline.withColumn("usual_lag", single(usual))
 
 
 def _issue(late: str, missing: str, duplicate: str):

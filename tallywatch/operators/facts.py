@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywatch.fixed_values import LATE_HOURS, MIN_CALLS, ZERO40
+from tallywatch.functions.columns import single
 from tallywatch.functions.quantiles import exact_quantiles
 from tallywatch.session import settle
 
@@ -289,7 +290,7 @@ def facts_integrity(days: DataFrame, tr: DataFrame, tx: DataFrame, bl: DataFrame
     """Blocks, completeness, late and repeated rows, and whether the mart agrees with the raw rows."""
     peaks = days.where("is_peak").select("episode_id", "metric", "token", "date")
     usual = pipeline.agg(F.expr("percentile(max_load_lag_hours, 0.5) as usual_lag"))
-    marts = pipeline.crossJoin(F.broadcast(usual)).selectExpr(
+    marts = pipeline.withColumn("usual_lag", single(usual)).selectExpr(
         "date", "missing_blocks", "duplicate_blocks", "try_divide(max_load_lag_hours, usual_lag) as load_lag_vs_usual")
     blocks = (bl.select("date", "timestamp").join(peaks.select("date").distinct(), "date", "left_semi").groupBy("date")
               .agg(*aggs("date_format(cast(max(timestamp) as timestamp), 'HH:mm') as last_block_time", "count(*) as blocks")))

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywatch.functions.columns import amount_band, amount_band_order, count_if, month_key, ratio, route, seconds_between, sum_if
+from tallywatch.functions.columns import amount_band, amount_band_order, count_if, month_key, ratio, route, seconds_between, single, sum_if
 from tallywatch.functions.quantiles import exact_quantiles
 
 CUBE = ["date", "token", "amount_band", "amount_band_order", "route"]
@@ -130,8 +130,8 @@ def load_summary(manifest: DataFrame) -> DataFrame:
 def entity_share(transfers: DataFrame, all_rows: DataFrame) -> DataFrame:
     """Transfers per token, and of all tokens together, as a share of every row of the source."""
     counts = transfers.rollup("token").agg(F.count(F.lit(1)).alias("transfers"))
-    whole = all_rows.agg(F.count(F.lit(1)).alias("total"))   # one row
-    return counts.crossJoin(F.broadcast(whole)).select(
+    whole = single(all_rows.agg(F.count(F.lit(1)).alias("total")))
+    return counts.withColumn("total", whole).select(
         F.coalesce("token", F.lit("All")).alias("token"), "transfers", ratio(F.col("transfers"), F.col("total")).alias("share"))
 
 

@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywatch.fixed_values import LAG_FACTOR, MIN_CALLS
+from tallywatch.functions.columns import beside, single
 from tallywatch.functions.quantiles import array_median
 from tallywatch.operators.facts import aggs
 
@@ -57,8 +58,8 @@ def band_mix(payments_value: DataFrame, pipeline: DataFrame) -> DataFrame:
     bands = (payments_value.join(F.broadcast(last_full_month(pipeline)), "month").groupBy("amount_band", "amount_band_order")
              .agg(F.sum("transfers").alias("n"), F.sum("volume").alias("v")))
     whole = bands.agg(F.sum("n").alias("all_n"), F.sum("v").alias("all_v"))
-    return bands.crossJoin(F.broadcast(whole)).selectExpr(
-        "amount_band", "amount_band_order", "try_divide(n, all_n) as count_share", "try_divide(v, all_v) as value_share")
+    return bands.withColumn("whole", single(whole)).selectExpr(
+        "amount_band", "amount_band_order", "try_divide(n, whole.all_n) as count_share", "try_divide(v, whole.all_v) as value_share")
 
 
 def month_pivot(payments: DataFrame, payments_value: DataFrame, tokens: list[str], months: int = 12) -> DataFrame:
@@ -66,7 +67,7 @@ def month_pivot(payments: DataFrame, payments_value: DataFrame, tokens: list[str
     newest = payments.agg(F.expr(f"date_format(add_months(max(date), -{months}), 'yyyy-MM') as after"))   # one row
     moved = payments.groupBy("month", "token").agg(F.sum("transfers").alias("transfers"))
     value = payments_value.groupBy("month", "token").agg(F.sum("volume").alias("volume"))
-    return (moved.join(value, ["month", "token"], "left").crossJoin(F.broadcast(newest)).where("month > after")
+    return (moved.join(value, ["month", "token"], "left").withColumn("after", single(newest)).where("month > after")
             .groupBy("month").pivot("token", tokens).agg(F.first("transfers").alias("transfers"), F.first("volume").alias("volume")))
 
 
@@ -74,19 +75,19 @@ def totals(payments: DataFrame, pipeline: DataFrame) -> DataFrame:
     moved = payments.groupBy("date").agg(F.sum("transfers").alias("t"), F.max("month").alias("m")).agg(*aggs(
         "sum(t) as transfers", "min(date) as first_day", "max(date) as last_day", "count(*) as days", "count(distinct m) as months"))
     blocks = pipeline.agg(*aggs("sum(blocks) as blocks", "sum(missing_blocks) + sum(duplicate_blocks) as gaps"))
-    return moved.crossJoin(blocks)   # two single rows
+    return beside(moved, blocks)
 
 
 def coverage(pipeline: DataFrame) -> DataFrame:
-    return pipeline.agg(*aggs(
+    return beside(pipeline.agg(*aggs(
         "min(date) as first", "max(date) as last", "count(distinct date) as days", "datediff(max(date), min(date)) + 1 as expected_days",
-        "sum(missing_blocks) + sum(duplicate_blocks) as gaps", "percentile(max_load_lag_hours, 0.5) as usual_lag")).crossJoin(
-        days_late(pipeline))   # two single rows
+        "sum(missing_blocks) + sum(duplicate_blocks) as gaps", "percentile(max_load_lag_hours, 0.5) as usual_lag")),
+        days_late(pipeline))
 
 
 def days_late(pipeline: DataFrame) -> DataFrame:
     usual = pipeline.agg(F.expr("percentile(max_load_lag_hours, 0.5) as u"))
-    return pipeline.crossJoin(F.broadcast(usual)).agg(F.expr(
+    return pipeline.withColumn("u", single(usual)).agg(F.expr(
         f"count_if(missing_blocks = 0 and duplicate_blocks = 0 and max_load_lag_hours > {LAG_FACTOR} * u) as days_late"))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywatch.fixed_values import DUE_HOURS, ENTITY_ADDRESSES, LATE_HOURS, PUBLISHED_MEASURES, SNAPSHOT_MEASURES, UNIT_SCALE
-from tallywatch.functions.columns import entity_of
+from tallywatch.functions.columns import beside, entity_of
 
 KEY = ["source_table", "date"]
 TIMES = ("first_written", "last_written")
@@ -167,7 +167,7 @@ def source_status(snaps: DataFrame, manifest: DataFrame, events: DataFrame) -> D
         "coalesce(sum(n) filter (where kind = 'changed'), 0) as changed", "coalesce(sum(late_in), 0) as late_arrival_table_days",
         "count_if(late_in > 0) as late_arrival_days")])
     median = events.where("kind = 'arrived'").agg(F.percentile("hours_after_day", F.lit(0.5)).alias("median_arrival_hours"))
-    return seen.crossJoin(published).crossJoin(compared).crossJoin(counts).crossJoin(median)   # five single rows
+    return beside(seen, published, compared, counts, median)
 
 
 def late_overlap(events: DataFrame, flags: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tallywatch.functions.columns import single
 from tallywatch.operators import episodes, verdicts
 from tallywatch.plans import watch
 from tallywatch.plans.catalog import query
@@ -161,6 +162,6 @@ def newest_top_move(eps, payments, months_back: int = 0):
     """The investigated episode furthest from usual that peaks in the newest month (or in the months before it)."""
     newest = payments.agg(F.trunc(F.max("date"), "month").alias("newest"))   # one row
     size = F.expr("if(peak_ratio > 0, abs(ln(peak_ratio)), 0)")
-    return (eps.where("investigated").crossJoin(F.broadcast(newest)).where(F.expr(f"peak_date >= add_months(newest, -{months_back})"))
+    return (eps.where("investigated").withColumn("newest", single(newest)).where(F.expr(f"peak_date >= add_months(newest, -{months_back})"))
             .orderBy(size.desc(), "episode_id").limit(1)
             .select("episode_id", "token", "metric", "peak_date", "peak_ratio", "label"))
