@@ -6,20 +6,22 @@ from pyspark.sql import functions as F
 
 from tallywatch.fixed_values import CHANCE_MIN_GAP, CHANCE_SIGMAS, MAX_EPISODES, MIN_CALLS
 from tallywatch.operators import episodes, facts, scoring, verdicts
-from tallywatch.session import broadcast_if_small, settle
+from tallywatch.session import broadcast_if_small, settle, settle_all, shared_dir
 
 
 def all_facts(plan: DataFrame, days: DataFrame, tr: DataFrame, tx: DataFrame, bl: DataFrame, payments: DataFrame,
               health: DataFrame, pipeline: DataFrame, min_calls: int = MIN_CALLS) -> DataFrame:
     """Every fact of every episode in `plan`, one wide row each.
 
-    Each group is written before the groups meet, so a lost executor repeats one group and not the whole plan.
+    Each group is written before the groups meet, so a lost executor repeats one group and not the whole plan. The
+    groups do not depend on one another and run at the same time.
     """
-    behaviour = (settle(facts.facts_failure(days, tx))
-                 .unionByName(settle(facts.facts_transfers(days, tr)), allowMissingColumns=True)
-                 .unionByName(settle(facts.facts_volume(days, tr)), allowMissingColumns=True))
-    integrity = settle(facts.facts_integrity(days, tr, tx, bl, payments, health, pipeline))
-    context = settle(facts.facts_context(days, payments, health, pipeline, min_calls))
+    shared_dir(plan.sparkSession)
+    failures, transfers, volume, integrity, context = settle_all(
+        lambda: facts.facts_failure(days, tx), lambda: facts.facts_transfers(days, tr), lambda: facts.facts_volume(days, tr),
+        lambda: facts.facts_integrity(days, tr, tx, bl, payments, health, pipeline),
+        lambda: facts.facts_context(days, payments, health, pipeline, min_calls))
+    behaviour = failures.unionByName(transfers, allowMissingColumns=True).unionByName(volume, allowMissingColumns=True)
     return (plan.join(behaviour, "episode_id", "left").join(integrity, "episode_id", "left")
             .join(context, "episode_id", "left"))
 
