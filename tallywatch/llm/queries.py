@@ -152,3 +152,22 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("long").alias("vec_id"), kdtree.integers().alias("v"))
     return kdtree.top_k(vectors, vectors.where("vec_id % 50 = 0"), 5)
+
+
+# ---- 6: substring dedup ----
+REPEATS_SQL = r"""with d as (select doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents),
+    p as (select doc_id, i, array_to_string(w[i + 1:i + 13], ' ') as g from (select doc_id, w, unnest(range(len(w) - 12)) as i from d where len(w) >= 13)),
+    m as (select g, min(doc_id) as least from p group by g),
+    c as (select distinct doc_id, j from (select p.doc_id, unnest(range(i, i + 13)) as j from p join m on p.g = m.g where m.least < p.doc_id)),
+    r as (select doc_id, list(j) as gone from c group by doc_id)
+    select d.doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(len(gone), 0) as bigint) as n_removed,
+        sha256(case when gone is null then array_to_string(w, ' ')
+            else coalesce(array_to_string(list_transform(list_filter(list_zip(w, range(len(w))), lambda z: not list_contains(gone, z[2])), lambda z: z[1]), ' '), '') end) as kept_sha256
+    from d left join r on d.doc_id = r.doc_id"""
+
+
+@register("op6_substring_dedup", REPEATS_SQL)
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallywatch.llm import substrings
+
+    return substrings.remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
