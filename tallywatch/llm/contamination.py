@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywatch.llm.words import FOLDED, U64, ranges, small_batches, text_bytes, word_chunks
+from tallywatch.llm.words import FOLDED, U64, ranges, ready, text_bytes, word_chunks
 
 #: A block of the benchmark is broadcast; its size is checked, and a larger benchmark is searched block by block.
 BLOCK_BYTES = 16 << 20
@@ -149,7 +149,7 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> Data
     hits, or no rows. Other columns are not looked at.
     """
     spark = docs.sparkSession
-    small_batches(spark)
+    ready(spark)
     items = benchmark.select(benchmark["item_id"].cast("long").alias("item_id"), benchmark["text"]).where("text is not null")
     blocks = max(1, -(-text_bytes(items, "text") // BLOCK_BYTES))
     out = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"])

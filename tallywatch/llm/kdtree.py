@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tallywatch.llm.words import ready
+
 LEAF = 64
 QUERY_BLOCK = 256
 SHARD_ROWS = 8192
@@ -101,6 +103,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, shard_rows: int =
     runs over common components). Rows of equal vec_id: each counts as a candidate; none of them is a candidate of their own query.
     Ties go to the smaller vec_id. Fewer than k candidates: all. Empty tables: no rows.
     """
+    ready(vectors.sparkSession)
     v = vectors.where("v is not null and vec_id is not null").select("vec_id", "v")
     q = queries.where("v is not null and vec_id is not null").groupBy(F.col("vec_id").alias("query_id")).agg(F.min("v").alias("q"))
     shards = max(1, -(-v.count() // shard_rows))

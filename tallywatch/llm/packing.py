@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from tallywatch.llm.words import small_batches
+from tallywatch.llm.words import ready
 
 PIECES = "doc_id long, start long, ids binary, doc_tokens long, sequence_id long, offset long"
 #: What the fast way of splitting handles: printable ASCII, tab to carriage return, and letters of Latin-1. Others go whole to the tokenizer.
@@ -127,7 +127,7 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 4096, end_id: int = 2, mos
     Result: doc_id, start, ids (little-endian unsigned 32-bit), doc_tokens, sequence_id, offset. Null or empty text: the end id
     alone. Null doc_id: kept as null. Repeated rows: each is packed. Empty table: no rows. Other columns are not looked at.
     """
-    small_batches(docs.sparkSession)
+    ready(docs.sparkSession)
 
     def run(batches):
         encoder, levels = Encoder(tokenizer, end_id), Levels(size)

@@ -171,3 +171,12 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallywatch.llm import substrings
 
     return substrings.remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+# ---- 4: near duplicates ----
+@register("op4_near_duplicates")
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallywatch.llm import neardup
+
+    out = neardup.classes(table(spark, sf_dir, "documents"))
+    return out.withColumn("kept", F.col("doc_id") == F.col("class_id"))

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywatch.llm.fm_index import FMIndex
-from tallywatch.llm.words import U64, UNSPACED, Words, gram_hashes, mix, ranges, raw_text, run_hashes, text_bytes, words_of
+from tallywatch.llm.words import U64, UNSPACED, Words, gram_hashes, mix, ranges, raw_text, ready, run_hashes, text_bytes, words_of
 
 GRAM = 5
 SLAB_BYTES = 4 << 20
@@ -117,6 +117,7 @@ def remove_repeats(docs: DataFrame, window: int = 13, slab_bytes: int = SLAB_BYT
     Null text or no words: nothing removed. Repeated rows have equal doc_ids, so neither removes the other's words. A null doc_id
     counts as larger than all others. Texts shorter than a window are kept. Empty table: no rows. Words are compared by 64-bit hash.
     """
+    ready(docs.sparkSession)
     total = max(1, text_bytes(docs, "text"))
     slabs, shards = -(-total // slab_bytes), -(-total // shard_bytes)
     dealt = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"], F.lit("")).alias("text"))

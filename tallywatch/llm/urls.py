@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywatch.llm.words import small_batches
+from tallywatch.llm.words import ready
 
 #: A digest array is broadcast; a longer list is probed array by array.
 ARRAY_BYTES = 64 << 20
@@ -82,7 +82,7 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], listed: list[str] = ()
 
     Null url or no ://: host and path are empty, no rule fits. Repeated rows: each is judged. Empty table: no rows.
     """
-    small_batches(pages.sparkSession)
+    ready(pages.sparkSession)
     given = sorted({(k, v) for k, v in rules} | {(f"{h}\0", "block") for h in listed})
     blocks: list[list[tuple[str, str]]] = [[]]
     size = 0

@@ -1,8 +1,11 @@
 """Words of whole texts as byte spans and 64-bit hashes, for the operators that read text in Arrow batches."""
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator
 from dataclasses import dataclass
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +30,20 @@ _Q_INVERSE = pow(_Q, -1, 1 << 64)
 _powers: list[np.ndarray] = []
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Arrow batches of bounded bytes: a batch of very long texts must fit in a Python worker."""
+_shipped: dict[str, tempfile.TemporaryDirectory] = {}
+
+
+def ready(spark: SparkSession) -> None:
+    """Executors get this package's code, and Arrow batches are bounded: one of very long texts must fit in a Python worker."""
+    if spark.sparkContext.applicationId not in _shipped:
+        root = Path(__file__).parent.parent
+        # The driver serves this file to executors as long as it lives.
+        folder = tempfile.TemporaryDirectory()
+        with zipfile.ZipFile(f"{folder.name}/{root.name}_code.zip", "w") as z:
+            for f in sorted(root.rglob("*.py")):
+                z.write(f, f.relative_to(root.parent))
+        spark.sparkContext.addPyFile(z.filename)
+        _shipped[spark.sparkContext.applicationId] = folder
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
