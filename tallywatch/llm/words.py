@@ -15,15 +15,16 @@ from pyspark.sql import functions as F
 U64 = np.uint64
 CHUNK_BYTES = 2 << 20
 
-#: 0-9, a-z, A-Z (folded to a-z) and every byte of a non-ASCII character.
-FOLDED = np.array([chr(b).isalnum() if b < 128 else True for b in range(256)])
-#: Anything but space, tab, line feed, vertical tab, form feed and carriage return.
-UNSPACED = np.array([b not in (9, 10, 11, 12, 13, 32) for b in range(256)])
+#: Words of 0-9, a-z, A-Z (folded to a-z) and every byte of a non-ASCII character.
+FOLDED = "folded"
+#: Words of anything but space, tab, line feed, vertical tab, form feed and carriage return.
+UNSPACED = "unspaced"
+_INSIDE = {FOLDED: np.array([chr(b).isalnum() if b < 128 else True for b in range(256)]), UNSPACED: np.array([b not in (9, 10, 11, 12, 13, 32) for b in range(256)])}
 
 _random = np.random.RandomState(20240229)
-_BYTE = _random.randint(0, 1 << 63, 256, dtype=np.int64).astype(U64) * U64(2) + U64(1)
-_BYTE_FOLDED = _BYTE.copy()
-_BYTE_FOLDED[65:91] = _BYTE[97:123]
+_BYTE = {UNSPACED: _random.randint(0, 1 << 63, 256, dtype=np.int64).astype(U64) * U64(2) + U64(1)}
+_BYTE[FOLDED] = _BYTE[UNSPACED].copy()
+_BYTE[FOLDED][65:91] = _BYTE[UNSPACED][97:123]
 _GRAM = _random.randint(0, 1 << 63, 64, dtype=np.int64).astype(U64) * U64(2) + U64(1)
 _Q = 0x9E3779B97F4A7C15
 _Q_INVERSE = pow(_Q, -1, 1 << 64)
@@ -93,7 +94,7 @@ class Words:
         return np.repeat(np.arange(self.high - self.low), np.diff(self.first))
 
 
-def word_chunks(column: pa.Array, word: np.ndarray, chunk: int = CHUNK_BYTES, hashed: bool = True) -> Iterator[Words]:
+def word_chunks(column: pa.Array, word: str, chunk: int = CHUNK_BYTES, hashed: bool = True) -> Iterator[Words]:
     """Whole texts, cut into chunks of about `chunk` bytes so that the arrays stay small; a text is never cut."""
     data, at = raw_text(column)
     low, n = 0, len(at) - 1
@@ -103,8 +104,8 @@ def word_chunks(column: pa.Array, word: np.ndarray, chunk: int = CHUNK_BYTES, ha
         low = high
 
 
-def words_of(data: np.ndarray, at: np.ndarray, word: np.ndarray, low: int = 0, hashed: bool = True) -> Words:
-    inside = word[data]
+def words_of(data: np.ndarray, at: np.ndarray, word: str, low: int = 0, hashed: bool = True) -> Words:
+    inside = _INSIDE[word][data]
     begins, ends = at[:-1][at[:-1] < len(data)], at[1:][at[1:] > 0] - 1
     before, after = np.empty_like(inside), np.empty_like(inside)
     before[1:], after[:-1] = inside[:-1], inside[1:]
@@ -114,19 +115,19 @@ def words_of(data: np.ndarray, at: np.ndarray, word: np.ndarray, low: int = 0, h
     if hashed:
         q, inverse = _power_tables(len(data) + 1)
         prefix = np.zeros(len(data) + 1, U64)
-        np.cumsum((_BYTE_FOLDED if word is FOLDED else _BYTE)[data] * q[:len(data)], out=prefix[1:])
+        np.cumsum(_BYTE[word][data] * q[:len(data)], out=prefix[1:])
         h = mix((prefix[end] - prefix[start]) * inverse[start])
     return Words(low, low + len(at) - 1, data, at, start, end, np.searchsorted(start, at), h)
 
 
-def hash_words(words: list[str], word: np.ndarray) -> np.ndarray:
+def hash_words(words: list[str], word: str) -> np.ndarray:
     """Hashes of single words, equal to those that `word_chunks` gives them in a text."""
     raw = [w.encode() for w in words]
     at = np.concatenate(([0], np.cumsum([len(w) for w in raw]))).astype(np.int64)
     data = np.frombuffer(b"".join(raw), np.uint8)
     q, inverse = _power_tables(len(data) + 1)
     prefix = np.zeros(len(data) + 1, U64)
-    np.cumsum((_BYTE_FOLDED if word is FOLDED else _BYTE)[data] * q[:len(data)], out=prefix[1:])
+    np.cumsum(_BYTE[word][data] * q[:len(data)], out=prefix[1:])
     return mix((prefix[at[1:]] - prefix[at[:-1]]) * inverse[at[:-1]])
 
 
