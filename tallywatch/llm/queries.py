@@ -180,3 +180,21 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     out = neardup.classes(table(spark, sf_dir, "documents"))
     return out.withColumn("kept", F.col("doc_id") == F.col("class_id"))
+
+
+# ---- 3: language identification ----
+@register("op3_language")
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallywatch.llm import language
+
+    rows = language.page_rows(table(spark, sf_dir, "pages"))
+    model = language.fit(table(spark, sf_dir, "documents").select("text", "lang"))
+    return language.identify(rows, model, markup=True).withColumnRenamed("id", "page_id")
+
+
+# ---- 2: html extraction ----
+@register("op2_html_extraction")
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallywatch.llm import wrappers
+
+    return wrappers.main_text(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
