@@ -1,6 +1,8 @@
 """Packing of documents into training sequences: sum-of-squares online packing."""
 from __future__ import annotations
 
+import re
+import struct
 from collections.abc import Iterator
 from itertools import chain
 
@@ -14,8 +16,26 @@ from tallywatch.llm.words import ready
 PIECES = "doc_id long, start long, ids binary, doc_tokens long, sequence_id long, offset long"
 #: What the fast way of splitting handles: printable ASCII, tab to carriage return, and letters of Latin-1. Others go whole to the tokenizer.
 SIMPLE = "[\t-\r -~À-ÖØ-öø-ÿ]*"
-PARTS = "'s|'t|'re|'ve|'m|'ll|'d|[a-zà-öø-ÿ]+|[0-9]|[^\t-\r a-zà-öø-ÿ0-9]+"
-MEMO_PARTS = 400_000
+PARTS = "'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\t-\r a-zß-öø-ÿ0-9]+"
+MEMO_PARTS = 500_000
+
+
+class Parts(dict):
+    """Ids of the parts of texts, each encoded by the tokenizer's model when it is first met. The model reads bytes written as
+    characters: printable ones of Latin-1 stand for themselves, the others, in order, for those from 256 on."""
+
+    def __init__(self, model):
+        super().__init__()
+        self.tokenize = model.tokenize
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        hidden = [b for b in range(256) if b not in shown]
+        self.written = {b: 256 + i for i, b in enumerate(hidden)}
+
+    def __missing__(self, part: str) -> bytes:
+        known = part if part.isascii() else part.encode().decode("latin-1").translate(self.written)
+        ids = [t.id for t in self.tokenize(known)]
+        self[part] = packed = struct.pack(f"<{len(ids)}I", *ids)
+        return packed
 
 
 class Encoder:
@@ -23,27 +43,20 @@ class Encoder:
     itself, so parts are encoded once and remembered (at most MEMO_PARTS of them, then the memory starts anew)."""
 
     def __init__(self, path: str, end_id: int):
-        import re
-
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.end = np.array([end_id], "<u4").tobytes()
-        self.simple, self.parts = re.compile(SIMPLE).fullmatch, re.compile(PARTS).findall
-        self.memo: dict[str, bytes] = {}
+        self.end = struct.pack("<I", end_id)
+        self.simple, self.split = re.compile(SIMPLE).fullmatch, re.compile(PARTS).findall
+        self.parts = Parts(self.tokenizer.model)
 
     def ids(self, text: str) -> bytes:
-        if not self.simple(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes() + self.end
-        parts = self.parts(text.lower())
-        new = list(set(parts).difference(self.memo))
-        if new:
-            if len(self.memo) > MEMO_PARTS:
-                self.memo.clear()
-                new = list(set(parts))
-            for part, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                self.memo[part] = np.array(e.ids, "<u4").tobytes()
-        return b"".join(chain(map(self.memo.__getitem__, parts), (self.end,)))
+        if not self.simple(text) or "<|" in text:  # special tokens are found in the whole text
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            return struct.pack(f"<{len(ids)}I", *ids) + self.end
+        if len(self.parts) > MEMO_PARTS:
+            self.parts.clear()
+        return b"".join(chain(map(self.parts.__getitem__, self.split(text.lower())), (self.end,)))
 
 
 class Levels:
