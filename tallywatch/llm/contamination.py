@@ -1,6 +1,8 @@
 """Benchmark decontamination: suffix arrays over the training texts, searched for every suffix of the benchmark."""
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -136,9 +138,9 @@ def scan_block(s: Suffixes, column: pa.Array) -> tuple[np.ndarray, list, list]:
     return np.concatenate(n_words) if n_words else np.zeros(0, np.int64), hits, matches
 
 
-def occurrences(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
+def occurrences(docs: DataFrame, benchmark: DataFrame, window: int = 10, carry: Sequence[str] = ()) -> DataFrame:
     """Where benchmark text stands in documents: doc_id, n_words, hits (covered intervals of words), matches (longest verbatim
-    matches with their places in item and document).
+    matches with their places in item and document), and the columns `carry`.
 
     Method: each Arrow batch of documents is a shard; its suffixes are sorted by their first `window` words (only places where a
     benchmark suffix can begin are kept, which loses nothing), and all benchmark suffixes are found by binary search. Following
@@ -152,15 +154,18 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> Data
     ready(spark)
     items = benchmark.select(benchmark["item_id"].cast("long").alias("item_id"), benchmark["text"]).where("text is not null")
     blocks = max(1, -(-text_bytes(items, "text") // BLOCK_BYTES))
-    out = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"])
+    along = [f"carry{i}" for i in range(len(carry))]
+    out = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"], *[docs[c].alias(a) for c, a in zip(carry, along)])
+    kinds = "".join(f", {a} {out.schema[a].dataType.simpleString()}" for a in along)
     for block in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect() if blocks > 1 else items.collect()
         shared = spark.sparkContext.broadcast(sorted(((-1 << 62) if r["item_id"] is None else r["item_id"], r["text"]) for r in rows))
-        out = out.mapInArrow(_pass(shared, window, block == 0, block == blocks - 1), FOUND + ("" if block == blocks - 1 else ", text string"))
-    return out
+        last = block == blocks - 1
+        out = out.mapInArrow(_pass(shared, window, block == 0, along if last else [*along, "text"]), FOUND + kinds + ("" if last else ", text string"))
+    return out.select(*[c for c in out.columns if c not in along], *[out[a].alias(c) for c, a in zip(carry, along)])
 
 
-def _pass(shared, window: int, start: bool, stop: bool):
+def _pass(shared, window: int, start: bool, along: list[str]):
     def run(batches):
         suffixes = Suffixes(shared.value, window)
         for batch in batches:
@@ -173,7 +178,7 @@ def _pass(shared, window: int, start: bool, stop: bool):
             match = pa.list_(pa.struct([("item_id", pa.int64()), ("item_at", pa.int32()), ("doc_at", pa.int32()), ("length", pa.int32())]))
             columns = [batch.column("doc_id"), pa.array(n_words, pa.int64()), pa.array(hits, hit), pa.array(matches, match)]
             names = ["doc_id", "n_words", "hits", "matches"]
-            yield pa.RecordBatch.from_arrays(columns + ([] if stop else [batch.column("text")]), names + ([] if stop else ["text"]))
+            yield pa.RecordBatch.from_arrays(columns + [batch.column(a) for a in along], names + along)
 
     return run
 

@@ -176,7 +176,7 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 4096, end_id: int = 2, mos
                     if levels.open > most_open:
                         for window in joined(levels.drain(), size):
                             put(window)
-                if len(out) >= 4000:
+                if len(out) >= 1000:
                     yield table()
         for window in joined(levels.drain(), size):
             put(window)

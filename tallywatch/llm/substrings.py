@@ -1,6 +1,8 @@
 """Removal of long verbatim repeats across documents, found by FM-index."""
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -101,10 +103,11 @@ def _joined(column: pa.ChunkedArray, kind) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), kind)
 
 
-def remove_repeats(docs: DataFrame, window: int = 13, slab_bytes: int = SLAB_BYTES, shard_bytes: int = SHARD_BYTES, hot_slabs: int = HOT_SLABS) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = 13, slab_bytes: int = SLAB_BYTES, shard_bytes: int = SHARD_BYTES, hot_slabs: int = HOT_SLABS,
+                   carry: Sequence[str] = ()) -> DataFrame:
     """Removes each word that lies in a window of `window` words which also begins in a document with a smaller doc_id.
 
-    Result: doc_id, n_words, n_removed, removed (intervals of words), kept (the other words, joined by one space).
+    Result: doc_id, n_words, n_removed, removed (intervals of words), kept (the other words, joined by one space), and the columns `carry`.
 
     Method: documents are dealt into slabs. A window's least gram (minimizer) is the same wherever the window stands, so windows
     can only repeat where their least gram does; those grams are found first. The runs of windows around them go to the shard
@@ -120,7 +123,8 @@ def remove_repeats(docs: DataFrame, window: int = 13, slab_bytes: int = SLAB_BYT
     ready(docs.sparkSession)
     total = max(1, text_bytes(docs, "text"))
     slabs, shards = -(-total // slab_bytes), -(-total // shard_bytes)
-    dealt = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"], F.lit("")).alias("text"))
+    along = [f"carry{i}" for i in range(len(carry))]
+    dealt = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"], F.lit("")).alias("text"), *[docs[c].alias(a) for c, a in zip(carry, along)])
     dealt = dealt.withColumn("slab", F.pmod(F.xxhash64("doc_id", "text"), F.lit(slabs)))
     by_slab = dealt.groupBy("slab")
 
@@ -182,7 +186,10 @@ def remove_repeats(docs: DataFrame, window: int = 13, slab_bytes: int = SLAB_BYT
         lowest[ranges(offset[number], found.unique_windows[number])] = _joined(answers["least"], np.int64)
         of = ranges(offset[found.number], found.windows)
         window_at = ranges(found.begin, found.windows)
-        return _cleaned(slab, window_at[lowest[of] < np.repeat(found.doc, found.windows)])
+        out = _cleaned(slab, window_at[lowest[of] < np.repeat(found.doc, found.windows)])
+        for a in along:
+            out = out.append_column(a, table[a])
+        return out
 
     told = by_slab.applyInArrow(keys, KEYS).groupBy("shard").applyInArrow(repeated, REPEATED)
     sent = by_slab.cogroup(told.groupBy("slab")).applyInArrow(segments, SEGMENTS)
@@ -191,12 +198,12 @@ def remove_repeats(docs: DataFrame, window: int = 13, slab_bytes: int = SLAB_BYT
     both = told.select("slab", "keys", empty.alias("number"), empty.alias("least")).unionByName(answers.select("slab", empty.alias("keys"), "number", "least"))
 
     def finish(table: pa.Table, replies: pa.Table) -> pa.Table:
-        if not len(table):
-            return _cleaned_schema()
         known = replies["keys"].is_valid()
         return clean(table, replies.filter(known).select(["keys"]), replies.filter(replies["number"].is_valid()).select(["number", "least"]))
 
-    return by_slab.cogroup(both.groupBy("slab")).applyInArrow(finish, CLEANED)
+    kinds = "".join(f", {a} {dealt.schema[a].dataType.simpleString()}" for a in along)
+    out = by_slab.cogroup(both.groupBy("slab")).applyInArrow(finish, CLEANED + kinds)
+    return out.select(*[c for c in out.columns if c not in along], *[out[a].alias(c) for c, a in zip(carry, along)])
 
 
 def least_docs(words: np.ndarray, size: np.ndarray, doc: np.ndarray, window: int) -> np.ndarray:
@@ -224,10 +231,6 @@ def least_docs(words: np.ndarray, size: np.ndarray, doc: np.ndarray, window: int
     return result
 
 
-def _cleaned_schema() -> pa.Table:
-    return _result(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(1, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), b"", np.zeros(1, np.int64))
-
-
 def _result(doc_id, n_words, n_removed, run_at, begin, end, data, text_at) -> pa.Table:
     ids = pa.array(doc_id, pa.int64(), mask=doc_id == LAST)
     pair = pa.StructArray.from_arrays([pa.array(begin, pa.int32()), pa.array(end, pa.int32())], ["start", "stop"])
