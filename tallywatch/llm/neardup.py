@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywatch.llm.words import FOLDED, U64, gram_hashes, mix, run_hashes, ready, word_chunks
+from tallywatch.llm.words import FOLDED, U64, gram_hashes, mix, ranges, ready, run_hashes, word_chunks
 from tallywatch.session import settle
 
 SHINGLE = 5
@@ -17,6 +17,8 @@ BANDS, ROWS = 9, 3
 #: Shingles in more than this share of all documents weigh less; the others have the full weight log(1 / SHARE).
 SHARE = 0.01
 TABLE_BITS = 14
+#: Texts of a bucket that one task compares; the texts of larger buckets are compared with centres until so few are left.
+GROUP = 1000
 
 _random = np.random.RandomState(7)
 _GAMMA_R = _random.gamma(2.0, 1.0, 1 << TABLE_BITS)
@@ -145,8 +147,10 @@ def samples(text: np.ndarray, value: np.ndarray, weight: np.ndarray, bound: np.n
     return out
 
 
-def signatures(docs: DataFrame, w: Weights) -> DataFrame:
-    """doc_id, content (hash of the words; null without words), bands (array of long)."""
+def signatures(docs: DataFrame, w: Weights, similarity: float = SIMILARITY) -> DataFrame:
+    """doc_id, content (hash of the words; null without words), bands (array of long). A band's key holds the text's weight class,
+    too: weights of similar texts differ by the factor 1 / similarity at most, so their classes are the same or next to each
+    other. Each text has a key for its own class and one for the class above, and so shares a key with both kinds."""
     shared = docs.sparkSession.sparkContext.broadcast(w)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,17 +162,20 @@ def signatures(docs: DataFrame, w: Weights) -> DataFrame:
                 bound = np.searchsorted(text, np.arange(n))
                 some = np.flatnonzero(np.diff(np.append(bound, len(text))) > 0)
                 content = run_hashes(c.hash, c.first[:-1], c.first[1:]).astype(np.int64)
-                keys = np.zeros((n, BANDS), np.int64)
+                keys = np.zeros((n, 2 * BANDS), np.int64)
                 if len(some):
-                    sample = samples(text, value, shared.value.of(value, times), bound[some])
+                    weight = shared.value.of(value, times)
+                    sample = samples(text, value, weight, bound[some])
+                    level = np.floor(np.log(np.add.reduceat(weight, bound[some])) / -np.log(similarity)).astype(np.int64).astype(U64)
                     for band in range(BANDS):
                         key = np.full(len(some), U64(band + 1))
                         for row in range(ROWS):
                             key = mix(key * U64(0x9E3779B97F4A7C15) + sample[band * ROWS + row])
-                        keys[some, band] = key.astype(np.int64)
+                        keys[some, 2 * band] = mix(key + level).astype(np.int64)
+                        keys[some, 2 * band + 1] = mix(key + level + U64(1)).astype(np.int64)
                 present = np.zeros(n, bool)
                 present[some] = True
-                at = np.concatenate(([0], np.cumsum(np.where(present, BANDS, 0)))).astype(np.int32)
+                at = np.concatenate(([0], np.cumsum(np.where(present, 2 * BANDS, 0)))).astype(np.int32)
                 bands = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(keys[present].ravel(), pa.int64()))
                 yield pa.RecordBatch.from_arrays([ids.slice(c.low, n), pa.array(content, pa.int64(), mask=~present), bands], ["doc_id", "content", "bands"])
 
@@ -242,7 +249,7 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     ready(docs.sparkSession)
     slim = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"])
     w = weights(slim)
-    sig = settle(signatures(slim, w))
+    sig = settle(signatures(slim, w, similarity))
     texts = sig.where("content is not null").groupBy("content").agg(F.min("doc_id").alias("text_id"), F.min("bands").alias("bands"))
     keyed = settle(texts.select("content", "text_id", F.explode("bands").alias("bucket")))
     crowded = keyed.groupBy("bucket").agg(F.count("*").alias("m"), F.min("content").alias("centre")).where("m > 1")
@@ -270,9 +277,11 @@ def _links(members: DataFrame, vec: DataFrame, w: Weights, similarity: float) ->
     2. a text that is apart from its bucket's centre, but within 2 * (1 - similarity) of it, may still be similar to a text that is
        connected to the centre; by the triangle inequality of weighted Jaccard distance only those are compared whose distances
        to the centre differ by 1 - similarity at most;
-    3. the texts apart from the centre form the bucket of the next round, around their own least text.
+    3. the texts apart from the centre, if they are GROUP at most, are compared among each other in one task, each only with
+       those it is not connected to; of buckets that bands have in common one is looked at. If they are more, they form the
+       bucket of the next round, around their own least text.
 
-    The rounds end when no bucket holds unconnected texts. The texts of a group of near copies are each compared about once.
+    The texts of a group of near copies are each compared about once, and no pairs but links leave a task.
     """
     near = 1 - similarity
     links: list[DataFrame] = []
@@ -310,7 +319,42 @@ def _links(members: DataFrame, vec: DataFrame, w: Weights, similarity: float) ->
         inside = judged.where("label = centre_label").select("bucket", F.col("content").alias("v"), F.col("d").alias("dv"))
         reach = fringe.join(inside, "bucket").where(F.col("dv").isNull() | (F.abs(F.col("du") - F.col("dv")) <= near))
         compare(_pairs(reach, "u", "v"))
-        again = apart.groupBy("bucket").agg(F.min("content").alias("centre"), F.min("label").alias("l"), F.max("label").alias("h")).where("l <> h")
-        members = settle(apart.join(again, "bucket").select("bucket", "content", "centre"))
+        rest = apart.groupBy("bucket").agg(F.count("*").alias("m"), F.min("content").alias("centre"), F.min("label").alias("l"), F.max("label").alias("h"),
+                                           F.sum(F.xxhash64("content").cast("decimal(38,0)")).alias("all")).where("l <> h")
+        rest = settle(rest)
+        few = rest.where(F.col("m") <= GROUP).groupBy("m", "centre", "all").agg(F.min("bucket").alias("bucket")).select("bucket")
+        links.append(settle(_within(apart.join(few, "bucket").select("bucket", "content", "label"), vec, w, similarity)))
+        members = settle(apart.join(rest.where(F.col("m") > GROUP).select("bucket", "centre"), "bucket").select("bucket", "content", "centre"))
         if not members.limit(1).count():
             return settle(all_links())
+
+
+def _within(groups: DataFrame, vec: DataFrame, w: Weights, similarity: float) -> DataFrame:
+    """Links a, b between the texts of groups (bucket, content, label) of bounded size, enough to connect what is similar."""
+    shared = groups.sparkSession.sparkContext.broadcast(w)
+
+    def run(table: pa.Table) -> pa.Table:
+        content, first = np.unique(table["content"].to_numpy(), return_index=True)
+        rows = table.take(pa.array(first))
+        label, m = rows["label"].to_numpy().copy(), len(content)
+        value = [np.frombuffer(x.as_buffer(), U64) for x in rows["shingles"]]
+        weight = [shared.value.of(v, np.frombuffer(t.as_buffer(), np.int32) if len(t.as_buffer()) else 1) for v, t in zip(value, rows["times"])]
+        total = np.array([x.sum() for x in weight])
+        every, owner, weighed = np.concatenate(value), np.repeat(np.arange(m), [len(v) for v in value]), np.concatenate(weight)
+        order = np.argsort(every)
+        every, owner, weighed = every[order], owner[order], weighed[order]
+        out = []
+        for i in range(m):
+            if (label[i:] == label[i]).all():
+                continue
+            low, high = np.searchsorted(every, value[i], "left"), np.searchsorted(every, value[i], "right")
+            at = ranges(low, high - low)
+            common = np.bincount(owner[at], np.minimum(weighed[at], np.repeat(weight[i], high - low)), m)
+            for j in np.flatnonzero(common >= similarity * (total + total[i] - common)):
+                if j > i and label[j] != label[i]:
+                    out.append((min(content[i], content[j]), max(content[i], content[j])))
+                    label[label == label[j]] = label[i]
+        columns = list(zip(*out)) or [(), ()]
+        return pa.table([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
+
+    return groups.join(vec, "content").select("bucket", "content", "label", "shingles", "times").groupBy("bucket").applyInArrow(run, "a long, b long").distinct()
