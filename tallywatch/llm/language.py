@@ -142,10 +142,6 @@ def _log_softmax(x: str) -> Column:
     return F.transform(x, lambda v: v - norm)
 
 
-def _mean(column: str, k: int) -> Column:
-    return F.array(*[F.avg(F.col(column)[i]) for i in range(k)])
-
-
 def _total(column: str, k: int) -> Column:
     return F.array(*[F.sum(F.col(column)[i]) for i in range(k)])
 
@@ -182,7 +178,8 @@ def identify(rows: DataFrame, model: Model, markup: bool = False) -> DataFrame:
     even = F.array(*[F.lit(1.0 / k)] * k)
     host = seen.where("host is not null").groupBy("host", "domain").agg(_total("p", k).alias("host_n"))
     domain = seen.where("domain is not null").groupBy("domain").agg(_total("p", k).alias("domain_n"))
-    overall = seen.agg(_total("p", k).alias("all_n")).select(_smoothed(F.coalesce("all_n", F.array(*[F.lit(0.0)] * k)), even).alias("all_p")).first()["all_p"]
+    whole = F.transform(_total("p", k), lambda v: F.coalesce(v, F.lit(0.0)))
+    overall = seen.agg(whole.alias("all_n")).select(_smoothed(F.col("all_n"), even).alias("all_p")).first()["all_p"]
     prior = F.array(*[F.lit(float(x)) for x in overall])
     domain = domain.select("domain", _smoothed(F.col("domain_n"), prior).alias("domain_p"))
     host = host.join(domain, "domain", "left").select("host", _smoothed(F.col("host_n"), F.coalesce("domain_p", prior)).alias("host_p"))

@@ -265,7 +265,7 @@ def choose(wrapper: list) -> list[tuple[int, ...]]:
     while True:
         inner = [(mass(x), i) for i, x in enumerate(item[ITEMS]) if not _outside(x[LABELS][0], x[ITEMS], False)]
         heavy = max(inner, default=(0, 0))
-        if heavy[0] * 10 < whole * 8 or item[ITEMS][heavy[1]][MANY]:
+        if not inner or heavy[0] * 10 < whole * 8 or item[ITEMS][heavy[1]][MANY]:
             return [place]
         place, item = (*place, heavy[1]), item[ITEMS][heavy[1]]
 
