@@ -56,7 +56,6 @@ BASELINE_DAYS = 7
 BASELINE_BACK_DAYS = 180
 BASELINE_MIN_DAYS = 3
 BASELINE_MAX_SCORE = 3.0
-MAX_EPISODES = 25
 
 # Verdict thresholds.
 EXPLAINS = 0.6
@@ -150,19 +149,3 @@ LOAD_CHECKS = [
 SNAPSHOT_MEASURES = ["rows", "files", "file_names", "min_block", "max_block", "first_written", "last_written",
                      "stable_rows", "stable_amount", "stable_failed"]
 PUBLISHED_MEASURES = ["rows", "files", "min_block", "max_block", "first_written", "last_written"]
-
-# Cases investigated by hand, used only to score the verdicts afterwards.
-KNOWN_CASES = [
-    ("USDC and USDT failure spike, Nov 2025", "failure_rate", ["USDT", "USDC"], "2025-11-22", "2025-12-05", ["bots"],
-     "new automated senders"),
-    ("PYUSD failure spikes, Aug-Sep 2024", "failure_rate", ["PYUSD"], "2024-08-16", "2024-09-16", ["bots"],
-     "bots, not users"),
-    ("600 trillion PYUSD, 15 Oct 2025", "volume", ["PYUSD"], "2025-10-15", "2025-10-15", ["supply"],
-     "a real mint and burn"),
-]
-
-# Failure windows looked into by hand, as (id, first day, last day, tokens).
-FAILURE_WINDOWS = [
-    ("failures_nov_2025", "2025-11-20", "2025-12-05", ["USDT", "USDC"]),
-    ("failures_pyusd_2024", "2024-08-15", "2024-09-30", ["PYUSD"]),
-]

@@ -6,7 +6,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallywatch.fixed_values import AMOUNT_BANDS, LATE_HOURS, ROUTES, ZERO40
+from tallywatch.fixed_values import AMOUNT_BANDS, ROUTES, ZERO40
 
 
 def ratio(top: Column, bottom: Column) -> Column:
@@ -23,11 +23,6 @@ def sum_if(condition: Column, value: Column) -> Column:
     return F.sum(F.when(condition, value))
 
 
-def weigh(condition: Column, n: Column) -> Column:
-    """Rows represented by pre-aggregated rows that meet the condition."""
-    return F.sum(F.when(condition, n).otherwise(0)).cast("long")
-
-
 def seconds_between(start: Column, end: Column) -> Column:
     return end.cast("timestamp").cast("long") - start.cast("timestamp").cast("long")
 
@@ -39,18 +34,10 @@ def minutes_crossed(start: Column, end: Column) -> Column:
     return minute(end) - minute(start)
 
 
-def is_late(event_time: Column, written: Column, hours: int = LATE_HOURS) -> Column:
-    return seconds_between(event_time, written) > hours * 3600
-
-
 def month_key(day: Column) -> Column:
     return F.date_format(day, "yyyy-MM")
 
 
-def hhmm(ts: Column) -> Column:
-    return F.date_format(ts.cast("timestamp"), "HH:mm")
-
-
 def amount_band(amount: Column) -> Column:
     """The first band whose upper bound is above the amount; a null amount falls in the last one."""
     return _band(amount, 1)

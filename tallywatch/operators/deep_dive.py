@@ -11,7 +11,7 @@ from tallywatch.fixed_values import BIG_SUPPLY_AMOUNT, REWRITE_SAMPLE, SPIKE_BAS
 from tallywatch.functions.columns import beside, is_zero, last40, minutes_crossed, single
 from tallywatch.functions.quantiles import exact_quantiles
 from tallywatch.operators.facts import LATE, aggs
-from tallywatch.session import small_side
+from tallywatch.session import settle
 
 CASE = ["date", "token", "spike_day"]
 PCT = "round(100.0D * try_divide({}, {}), {})"
@@ -31,11 +31,11 @@ def case_days(spikes: DataFrame, before: int = SPIKE_BASELINE_DAYS) -> DataFrame
 
 
 def case_calls(tx: DataFrame, days: DataFrame, tokens: list[str]) -> DataFrame:
-    """Direct calls on the days of a case. The day list is broadcast after its size is measured."""
+    """Direct calls on the days of a case. The day list is written first, so the planner knows its size."""
     rows = tx.where(F.col("direct_token").isin(tokens)).selectExpr(
         "date", "block_timestamp", "hash", "from_address as sender", "direct_token as token", "receipt_status = 1 as succeeded",
         "receipt_gas_used as gas_used", f"receipt_effective_gas_price / {WEI_PER_GWEI} as gas_price_gwei", f"{LATE} as late")
-    return rows.join(small_side(days), "date")
+    return rows.join(settle(days), "date")
 
 
 def context(health: DataFrame, payments: DataFrame, pipeline: DataFrame, spikes: DataFrame, tokens: list[str], last: str,
@@ -64,15 +64,16 @@ def sender_days(calls: DataFrame) -> DataFrame:
     return calls.groupBy(*CASE, "sender").agg(*aggs("count(*) as calls", "count_if(not succeeded) as failed"))
 
 
-def rank_senders(senders: DataFrame, k: int = 10) -> DataFrame:
-    """The k senders that fail most per day and token. Ranking beyond k is never needed."""
+def rank_senders(senders: DataFrame, k: int | None = None) -> DataFrame:
+    """Senders by failures per day and token: all, or the first k (the rest is then dropped before the shuffle)."""
     w = Window.partitionBy("date", "token").orderBy(F.col("failed").desc(), F.col("calls").desc(), "sender")
-    return senders.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    ranked = senders.withColumn("rank", F.row_number().over(w))
+    return ranked if k is None else ranked.where(F.col("rank") <= k)
 
 
 def concentration(senders: DataFrame) -> DataFrame:
     """Failure rates with and without the top senders: totals less the ranked few."""
-    top = rank_senders(senders).groupBy("date", "token").agg(*aggs(
+    top = rank_senders(senders, 10).groupBy("date", "token").agg(*aggs(
         "max(failed) filter (where rank = 1) as f1", "max(calls) filter (where rank = 1) as c1", "sum(failed) as f10", "sum(calls) as c10"))
     whole = senders.groupBy(*CASE).agg(*aggs("sum(calls) as calls", "sum(failed) as failed", "count_if(failed > 0) as failing_senders"))
     return whole.join(top, ["date", "token"]).selectExpr(
@@ -197,7 +198,7 @@ def case_kpis(spikes: DataFrame, ctx: DataFrame, known: DataFrame) -> DataFrame:
 # Value outliers
 
 def on_days(tr: DataFrame, outliers: DataFrame) -> DataFrame:
-    return tr.join(small_side(outliers.select("date", "token")), ["date", "token"])
+    return tr.join(settle(outliers.select("date", "token")), ["date", "token"])
 
 
 def supply_events(tr: DataFrame, least: float = BIG_SUPPLY_AMOUNT) -> DataFrame:
@@ -239,8 +240,8 @@ def mint_burn_match(events: DataFrame, tol: float = 1e-9, scale: float = 1e6) ->
     burn_back = f"kind = 'burn' and {same} and {later} and {close('amount', 'big.amount')}"
     smaller = f"kind = 'mint' and {same} and {later} and {close(f'amount * {scale}D', 'big.amount')}"
     before = f"kind = 'burn' and {earlier} and {close(f'amount * {scale}D', 'big.amount')}"
-    # As many rows as tokens: bounded by the events' own tokens, and measured before it is broadcast.
-    rows = events.join(small_side(big), "token")
+    # As many rows as tokens: bounded by the events' own tokens.
+    rows = events.join(settle(big), "token")
     return rows.groupBy("token", "big").agg(*aggs(
         f"min(block_timestamp) filter (where {burn_back}) as burned_at", f"count_if({smaller}) as n_smaller",
         f"min(block_timestamp) filter (where {smaller}) as smaller_mint_at", f"count_if({before}) as n_before",

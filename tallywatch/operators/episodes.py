@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywatch.fixed_values import (BASELINE_BACK_DAYS, BASELINE_DAYS, BASELINE_MAX_SCORE, BASELINE_MIN_DAYS,
-                                     EPISODE_GAP_DAYS, LAG_FACTOR, MAX_EPISODES, WAVE_GAP_DAYS)
+                                     EPISODE_GAP_DAYS, LAG_FACTOR, WAVE_GAP_DAYS)
 from tallywatch.functions.columns import ratio, single
 
 SERIES = ["metric", "token", "direction"]
@@ -81,8 +81,8 @@ def waves(eps: DataFrame, gap_days: int = WAVE_GAP_DAYS) -> DataFrame:
     return (runs.withColumn("wave_start", F.min("start").over(Window.partitionBy(*SERIES, "run"))).drop("run"))
 
 
-def most_severe(eps: DataFrame, n: int | None = MAX_EPISODES) -> DataFrame:
-    """The episodes to investigate. None takes all."""
+def most_severe(eps: DataFrame, n: int | None = None) -> DataFrame:
+    """The episodes to investigate: all, or the n most severe."""
     return eps if n is None else eps.orderBy(F.col("severity").desc(), "episode_id").limit(n)
 
 

@@ -45,11 +45,6 @@ def mart_payments(tr: DataFrame, tx: DataFrame, distinct: str | None = "approx")
             .select("month", *CUBE, "cube_key", *[c for c in per_cell.columns if c not in CUBE]))
 
 
-def daily_payments(tr: DataFrame) -> DataFrame:
-    """Transfers and value per day and token, straight from the rows: what detection needs of the cube."""
-    return tr.groupBy("date", "token").agg(F.count(F.lit(1)).alias("transfers"), F.sum("amount").alias("volume"))
-
-
 def mart_health(tx: DataFrame) -> DataFrame:
     """Direct calls, failures and fees per day and token. The median is exact and never held by one task."""
     direct = tx.where(F.col("direct_token").isNotNull()).withColumnRenamed("direct_token", "token")
@@ -63,13 +58,6 @@ def mart_health(tx: DataFrame) -> DataFrame:
         F.get("q", F.lit(0)).alias("median_fee_eth"), "total_fee_eth"))
 
 
-def daily_failures(tx: DataFrame) -> DataFrame:
-    """Calls and failures per day and token, without the fee columns."""
-    return (tx.where(F.col("direct_token").isNotNull()).groupBy("date", F.col("direct_token").alias("token"))
-            .agg(F.count(F.lit(1)).alias("direct_calls"), count_if(~F.col("succeeded")).alias("failed_calls"))
-            .withColumn("failure_rate", ratio(F.col("failed_calls"), F.col("direct_calls"))))
-
-
 def mart_pipeline(bl: DataFrame, tr: DataFrame, load: DataFrame) -> DataFrame:
     """One row per day: is the data complete and on time? Blocks, transfers and loads are each reduced to days first."""
     blocks = bl.groupBy("date").agg(

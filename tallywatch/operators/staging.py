@@ -49,12 +49,6 @@ def extract_transactions(source: DataFrame, transfers: DataFrame, entities: dict
         "receipt_status", "receipt_gas_used", "receipt_effective_gas_price", "transaction_type", *written)
 
 
-def extract_blocks(source: DataFrame) -> DataFrame:
-    written = ["last_modified"] if "last_modified" in source.columns else []
-    return source.select("date", "number", "hash", "parent_hash", "timestamp", "transaction_count", "gas_used",
-                         "gas_limit", "base_fee_per_gas", *written)
-
-
 def transfers(raw: DataFrame, months: list[str] | None = None) -> DataFrame:
     return _in_months(raw, months).select(
         "date", "block_timestamp", "block_number", "log_index", "transaction_hash", "token", "from_address",

@@ -4,11 +4,12 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallywatch.plans.catalog import query
 from tallywatch.session import settle, shared_dir
 from tallywatch.sources.adapters import Raw
-from tallywatch.sources.tables import keep_others, listing, publish, scan, with_month
+from tallywatch.sources.tables import keep_others, list_days, listing, publish, scan, with_month, write_json_lines, write_result
 
 
 def published(raw: Raw, df) -> str:
@@ -66,3 +67,35 @@ def _(raw: Raw):
 @query("scan_files", "select 'orders.parquet' as file_name, count(*) as rows from orders")
 def _(raw: Raw):
     return scan(raw.spark, f"{raw.sf_dir}/orders.parquet", with_file=True).groupBy("file_name").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("folder_listing", "select distinct 'calls' as source_table, date from z_calls")
+def _(raw: Raw):
+    """Days from folder names: no file is opened."""
+    return list_days(raw.spark, {"calls": published(raw, raw.calls), "absent": f"{shared_dir(raw.spark)}/none"})
+
+
+@query("scan_drift", """
+    select date, token, count(*) as calls, sum(case when day(date) % 3 = 0 then floor(amount) else amount end) as amount,
+           count(case when day(date) % 3 <> 1 then number end) as numbered from z_calls group by date, token""", rounds="amount:2")
+def _(raw: Raw):
+    """Days whose files have amounts as whole numbers, days without a column, days with one more, and an absent table."""
+    path = f"{shared_dir(raw.spark)}/drift/{uuid.uuid4().hex}"
+    schema = T.StructType.fromDDL("date date, token string, number bigint, amount double")
+    rows = raw.calls.select(*schema.names)
+    changes = (lambda d: d.withColumn("amount", F.floor("amount").cast("bigint")), lambda d: d.drop("number"), lambda d: d.withColumn("extra", F.lit(1)))
+    for kind, change in enumerate(changes):
+        publish(change(rows.where(f"day(date) % 3 = {kind}")), path)
+    table = scan(raw.spark, path, schema).unionByName(scan(raw.spark, f"{path}-absent", schema), allowMissingColumns=True)
+    return table.groupBy("date", "token").agg(F.count(F.lit(1)).alias("calls"), F.sum("amount").alias("amount"), F.count("number").alias("numbered"))
+
+
+@query("written_results", DAILY.format("z_calls"), rounds="amount:2")
+def _(raw: Raw):
+    """Results go to Parquet and to JSON lines, and both read back alike; the lines are returned."""
+    path = f"{shared_dir(raw.spark)}/results/{uuid.uuid4().hex}"
+    rows = daily(raw.calls)
+    write_result(rows, f"{path}/table")
+    table = raw.spark.read.parquet(f"{path}/table")
+    write_json_lines(table, f"{path}/lines")
+    return raw.spark.read.schema(table.schema).json(f"{path}/lines")

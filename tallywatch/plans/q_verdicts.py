@@ -131,7 +131,14 @@ piece("z_judgedeps", """
 @query("most_severe", "select episode_id, metric, token, direction, peak_ratio, severity from z_judgedeps where investigated",
        rounds="peak_ratio severity")
 def _(raw: Raw):
-    return episodes.most_severe(detected(raw).episodes).select("episode_id", "metric", "token", "direction", "peak_ratio", "severity")
+    return episodes.most_severe(detected(raw).episodes, 25).select("episode_id", "metric", "token", "direction", "peak_ratio", "severity")
+
+
+@query("investigated_all", "select e.episode_id, e.metric, e.token, j.rule, l.label, true as investigated from z_eps e join z_judged j using (episode_id) join z_labels l using (family)")
+def _(raw: Raw):
+    """Every episode has a verdict: nothing is left out by severity."""
+    eps = episodes.most_severe(detected(raw).episodes)
+    return eps.join(judged(raw).select("episode_id", "rule", "label"), "episode_id").select("episode_id", "metric", "token", "rule", "label", F.lit(True).alias("investigated"))
 
 
 @query("agreement", """

@@ -4,9 +4,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywatch.fixed_values import CHANCE_MIN_GAP, CHANCE_SIGMAS, MAX_EPISODES, MIN_CALLS
+from tallywatch.fixed_values import CHANCE_MIN_GAP, CHANCE_SIGMAS, MIN_CALLS
 from tallywatch.operators import episodes, facts, scoring, verdicts
-from tallywatch.session import broadcast_if_small, settle, settle_all, shared_dir
+from tallywatch.session import settle, settle_all, shared_dir
 
 
 def all_facts(plan: DataFrame, days: DataFrame, tr: DataFrame, tx: DataFrame, bl: DataFrame, payments: DataFrame,
@@ -39,19 +39,19 @@ def nested_facts(wide: DataFrame) -> DataFrame:
 
 
 def investigate(tr: DataFrame, tx: DataFrame, bl: DataFrame, payments: DataFrame, health: DataFrame, pipeline: DataFrame,
-                max_episodes: int | None = MAX_EPISODES, min_calls: int = MIN_CALLS, min_gap: float = CHANCE_MIN_GAP,
+                max_episodes: int | None = None, min_calls: int = MIN_CALLS, min_gap: float = CHANCE_MIN_GAP,
                 sigmas: float = CHANCE_SIGMAS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Episodes with their verdicts, the facts behind them, and the days the pipeline flags.
 
-    `payments`, `health` and `pipeline` are the published marts. All episodes are found; the most severe ones are
-    investigated, and the others carry investigated = false.
+    `payments`, `health` and `pipeline` are the published marts. All episodes are found and investigated; with
+    `max_episodes` only the most severe ones are, and the others carry investigated = false.
     """
     scored = scoring.scored_days(scoring.daily_series(payments, health, min_calls))
     flagged = episodes.flagged_days(pipeline)
     found = settle(episodes.waves(episodes.episodes(scoring.unusual_days(scored, min_gap, sigmas), flagged)))
     chosen = episodes.most_severe(found, max_episodes)
     plan = settle(episodes.baseline_days(chosen, scored, flagged))
-    days = broadcast_if_small(episodes.plan_days(plan))
+    days = settle(episodes.plan_days(plan))
     wide = settle(all_facts(plan, days, tr, tx, bl, payments, health, pipeline, min_calls))
     judged = verdicts.verdicts(wide)
     out = found.join(judged.drop("metric", "token", "direction").withColumn("investigated", F.lit(True)), "episode_id", "left")

@@ -7,7 +7,6 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def pin_utc(spark: SparkSession) -> SparkSession:
@@ -67,13 +66,3 @@ def settle_all(*builders: Callable[[], DataFrame]) -> list[DataFrame]:
     """Independent results written at the same time: their jobs share the cluster instead of waiting in turn."""
     with ThreadPoolExecutor(len(builders)) as pool:
         return list(pool.map(lambda build: settle(build()), builders))
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """A hint to broadcast, given only after the rows were counted. Beyond the bound the side is shuffled."""
-    return F.broadcast(df) if df.count() <= max_rows else df
-
-
-def small_side(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """A join side computed once, and broadcast only if its measured size allows it."""
-    return broadcast_if_small(settle(df), max_rows)

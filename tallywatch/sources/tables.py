@@ -1,12 +1,14 @@
 """Reading and publishing partitioned Parquet tables."""
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallywatch.functions.columns import month_key
-from tallywatch.session import small_side
+from tallywatch.session import settle
 
 # The schemas of the raw tables. Absent tables and columns are read as these, empty or null.
 SCHEMAS = {
@@ -46,44 +48,91 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*known, *[c for c in df.columns if c not in set(schema.names)])
 
 
+def _children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, hidden ones left out: a listing, no file is opened."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    found = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(target)
+    return sorted(name for name in (f.getPath().getName() for f in found) if name[0] not in "_.")
+
+
+def _alike(spark: SparkSession, path: str, parts: list[str]) -> list[DataFrame]:
+    """The parts (folders or files under `path`) read in groups whose files' schemas can be merged.
+
+    Usually that is one group. Where types differ, each part tells its schema by one footer, and equal ones are read together;
+    a folder that mixes types is taken file by file.
+    """
+    def read(group: list[str]) -> DataFrame:
+        return spark.read.option("basePath", path).option("mergeSchema", "true").parquet(*[f"{path}/{x}" for x in group])
+
+    try:
+        return [read(parts)]
+    except Exception as refused:
+        if "CANNOT_MERGE" not in str(refused):
+            raise
+    if len(parts) == 1:
+        parts = [f"{parts[0]}/{name}" for name in _children(spark, f"{path}/{parts[0]}")]
+    with ThreadPoolExecutor(8) as pool:
+        kinds = list(pool.map(lambda x: spark.read.parquet(f"{path}/{x}").schema.simpleString(), parts))
+    groups: dict[str, list[str]] = {}
+    for kind, part in zip(kinds, parts):
+        groups.setdefault(kind, []).append(part)
+    if len(groups) == 1:  # the same first footers: some folder mixes types
+        return [df for part in parts for df in _alike(spark, path, [part])]
+    return [df for group in groups.values() for df in _alike(spark, path, group)]
+
+
 def scan(spark: SparkSession, path: str, schema: T.StructType | None = None, months: list[str] | None = None,
          days: DataFrame | None = None, with_file: bool = False) -> DataFrame:
     """A day-partitioned table, tolerant of drift: columns merged by name, absent columns null, absent table empty.
 
-    `months` ('YYYY-MM') becomes a range on the partition column, so other folders are never listed for reading.
-    `days` is a frame with a `date` column: a semi-join whose (measured, small) side prunes partitions at run time.
+    `months` ('YYYY-MM') chooses the folders, so files of other months are neither listed nor opened.
+    `days` is a frame with a `date` column: a semi-join whose small, written side prunes partitions at run time.
+    With a schema, files of unlike physical types are read in groups and cast before they meet.
     """
     if not _exists(spark, path):
         if schema is None:
             raise FileNotFoundError(path)
         return spark.createDataFrame([], schema)
-    df = spark.read.option("mergeSchema", "true").parquet(path)
-    if with_file:
-        df = df.select("*", F.col("_metadata.file_name").alias("file_name"))
-    if months:
-        first = [F.lit(f"{m}-01").cast("date") for m in months]
-        inside = [(F.col("date") >= d) & (F.col("date") < F.add_months(d, 1)) for d in first]
-        keep = inside[0]
-        for more in inside[1:]:
-            keep = keep | more
-        df = df.where(keep)
+    names = [x for x in _children(spark, path) if x.startswith("date=")] if not path.endswith(".parquet") else []
+    parts = [x for x in names if not months or x[5:12] in months]
+    if names and not parts:
+        return spark.createDataFrame([], schema) if schema is not None else spark.read.parquet(path).limit(0)
+    groups = _alike(spark, path, parts) if parts else [spark.read.parquet(path)]
+    out = None
+    for df in groups:
+        if with_file:
+            df = df.select("*", F.col("_metadata.file_name").alias("file_name"))
+        if months and not parts:
+            df = df.where(month_key(F.col("date")).isin(months))
+        df = conform(df, schema) if schema is not None else df
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
     if days is not None:
         # The comparison makes the day list count as selective, which dynamic partition pruning asks for.
-        wanted = small_side(days.select("date").distinct()).where(F.col("date") > F.lit("1900-01-01").cast("date"))
-        df = df.join(wanted, "date", "left_semi")
-    return conform(df, schema) if schema is not None else df
+        wanted = settle(days.select("date").distinct()).where(F.col("date") > F.lit("1900-01-01").cast("date"))
+        out = out.join(wanted, "date", "left_semi")
+    return out
+
+
+def list_days(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """source_table, date: which table has which day, from folder names alone (a name per table and day)."""
+    found = [(name, x[5:]) for name, path in paths.items() if _exists(spark, path) for x in _children(spark, path) if x[:5] == "date=" and x[5:6].isdigit()]
+    return spark.createDataFrame(found, "source_table string, day string").select("source_table", F.col("day").cast("date").alias("date"))
 
 
 def publish(df: DataFrame, path: str, by: str = "date", order: list[str] | None = None,
-            rows_per_file: int = 20_000_000) -> None:
+            rows_per_file: int = 20_000_000, tasks_per_day: int = 8) -> None:
     """Write one folder per day (or month); folders present in `df` are replaced, the others stay.
 
-    Rows are shuffled by day together with their leading sort key, so a day that holds most rows is written by many
-    tasks, each a sorted range; files are also cut at `rows_per_file`.
+    With `order`, rows are shuffled by day and leading sort key, so a day that holds most rows is written by many tasks, each
+    a sorted range; the rows are written first, because range partitioning reads them twice. Without it, a day is dealt to
+    `tasks_per_day` tasks by a hash of its rows. Files are also cut at `rows_per_file`.
     """
-    order = order or []
-    shuffled = df.repartitionByRange(by, *order)
-    (shuffled.sortWithinPartitions(by, *order).write.mode("overwrite").partitionBy(by)
+    if order:
+        shuffled = settle(df).repartitionByRange(by, *order)
+    else:
+        shuffled = df.repartition(F.col(by), F.pmod(F.xxhash64(*[c for c in df.columns if c != by]), F.lit(tasks_per_day)))
+    (shuffled.sortWithinPartitions(by, *(order or [])).write.mode("overwrite").partitionBy(by)
      .option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
      .option("maxRecordsPerFile", rows_per_file).parquet(path))
 
