@@ -11,13 +11,14 @@ from tallywatch.session import settle
 TASK_ROWS = 50_000
 
 
-def _ranked(rows: DataFrame, group: list[str], bucket: str, order: list[Column], out: str) -> DataFrame:
-    """0-based rank of each row within its group. Rows are sorted within (group, bucket) only; buckets follow the order, so the
-    counts of the buckets before give the rest. A hot group is spread over its buckets."""
+def _ranked(rows: DataFrame, group: list[str], bucket: str, order: list[Column], out: str, size: str | None = None) -> DataFrame:
+    """0-based rank of each row within its group, and the group's size. Rows are sorted within (group, bucket) only; buckets follow
+    the order, so the counts of the buckets before give the rest. A hot group is spread over its buckets."""
     keys = [*group, bucket]
     counts = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
     before = W.partitionBy(*group).orderBy(bucket).rowsBetween(W.unboundedPreceding, -1) if group else W.orderBy(bucket).rowsBetween(W.unboundedPreceding, -1)
-    counts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    counts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    counts = (counts.withColumn(size, F.sum("_n").over(W.partitionBy(*group))) if size else counts).drop("_n")
     inside = F.row_number().over(W.partitionBy(*keys).orderBy(*order)) - 1
     return rows.withColumn("_inside", inside).join(counts, keys).withColumn(out, F.col("_before") + F.col("_inside")).drop("_before", "_inside")
 
@@ -41,10 +42,8 @@ def interleave(docs: DataFrame, shards: int, seed: str = "0", source: str = "sou
     # md5 gives the same shuffle in any SQL engine.
     rows = rows.withColumn("_u", F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
     part = F.floor(F.conv(F.substring("_u", 1, 8), 16, 10).cast("long") * F.lit(buckets) / F.lit(1 << 32)).cast("int")
-    rows = _ranked(rows.withColumn("_bucket", part), ["_stratum"], "_bucket", [F.col("_u"), *ties], "_rank")
-    sizes = rows.groupBy("_stratum").agg(F.count("*").alias("_size"))
-    # A window over a source would gather it in one task; its size comes by a join instead.
-    rows = settle(rows).join(sizes, "_stratum")
+    rows = _ranked(rows.withColumn("_bucket", part), ["_stratum"], "_bucket", [F.col("_u"), *ties], "_rank", "_size")
+    rows = settle(rows)
     rows = rows.withColumn("_f", (2 * F.col("_rank") + 1) / (2 * F.col("_size")))
     rows = rows.withColumn("_bucket", F.least(F.floor(F.col("_f") * buckets), F.lit(buckets - 1)).cast("int"))
     rows = _ranked(rows, [], "_bucket", [F.col("_f"), F.col("_stratum"), F.col("_u"), *ties], "_place")
