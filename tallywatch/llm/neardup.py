@@ -17,8 +17,10 @@ BANDS, ROWS = 9, 3
 #: Shingles in more than this share of all documents weigh less; the others have the full weight log(1 / SHARE).
 SHARE = 0.01
 TABLE_BITS = 14
-#: Texts of a bucket that one task compares; the texts of larger buckets are compared with centres until so few are left.
+#: Leftover texts of a bucket that one task compares with as many others.
 GROUP = 1000
+#: Texts beside its centre that a bucket's unconnected texts are compared with.
+PIVOTS = 4
 
 _random = np.random.RandomState(7)
 _GAMMA_R = _random.gamma(2.0, 1.0, 1 << TABLE_BITS)
@@ -271,17 +273,13 @@ def _pairs(df: DataFrame, u: str, v: str) -> DataFrame:
 
 
 def _links(members: DataFrame, vec: DataFrame, w: Weights, similarity: float) -> DataFrame:
-    """Links a, b (contents) from members (bucket, content, centre). In every round
+    """Links a, b (contents) from members (bucket, content, centre), enough to connect all texts of a bucket that are similar.
 
-    1. each text is compared with the least centre of its buckets, then with the other centres of buckets it is not connected to;
-    2. a text that is apart from its bucket's centre, but within 2 * (1 - similarity) of it, may still be similar to a text that is
-       connected to the centre; by the triangle inequality of weighted Jaccard distance only those are compared whose distances
-       to the centre differ by 1 - similarity at most;
-    3. the texts apart from the centre, if they are GROUP at most, are compared among each other in one task, each only with
-       those it is not connected to; of buckets that bands have in common one is looked at. If they are more, they form the
-       bucket of the next round, around their own least text.
-
-    The texts of a group of near copies are each compared about once, and no pairs but links leave a task.
+    1. Each text is compared with the least centre of its buckets; the texts of a group of near copies are compared about once.
+    2. What is not connected to its bucket's centre then is compared with the centre, and in larger buckets with PIVOTS more texts.
+    3. Few are left. A text apart from the centre may still be similar to one connected to it; by the triangle inequality of
+       weighted Jaccard distance that one's distance from the centre is at most 1 - similarity less. Those texts and the ones
+       apart are compared in blocks of GROUP, within tasks; only links leave a task.
     """
     near = 1 - similarity
     links: list[DataFrame] = []
@@ -293,12 +291,11 @@ def _links(members: DataFrame, vec: DataFrame, w: Weights, similarity: float) ->
             out = out.unionByName(part)
         return out.distinct()
 
-    def compare(pairs: DataFrame) -> DataFrame:
+    def compare(pairs: DataFrame) -> None:
         nonlocal compared
         new = settle(verified(pairs if compared is None else pairs.join(compared, ["a", "b"], "left_anti"), vec, w))
         links.append(new.where(F.col("similarity") >= similarity).select("a", "b"))
-        compared = new if compared is None else settle(compared.unionByName(new))
-        return new
+        compared = new if compared is None else compared.unionByName(new)
 
     def connected(rows: DataFrame) -> DataFrame:
         """Adds `label` and `centre_label`."""
@@ -308,53 +305,67 @@ def _links(members: DataFrame, vec: DataFrame, w: Weights, similarity: float) ->
         out = rows.join(own, "content", "left").join(centre, "centre", "left")
         return settle(out.withColumns({"label": F.coalesce("label", "content"), "centre_label": F.coalesce("centre_label", "centre")}))
 
-    while True:
-        others = members.where("content <> centre")
-        compare(_pairs(others.groupBy("content").agg(F.min("centre").alias("centre")), "centre", "content"))
-        compare(_pairs(connected(others).where("label <> centre_label"), "centre", "content"))
-        judged = connected(others).withColumns({"a": F.least("centre", "content"), "b": F.greatest("centre", "content")})
-        judged = settle(judged.join(compared, ["a", "b"], "left").select("bucket", "content", "label", "centre_label", (1 - F.col("similarity")).alias("d")))
-        apart = judged.where("label <> centre_label")
-        fringe = apart.where(F.col("d") <= 2 * near).select("bucket", F.col("content").alias("u"), F.col("d").alias("du"))
-        inside = judged.where("label = centre_label").select("bucket", F.col("content").alias("v"), F.col("d").alias("dv"))
-        reach = fringe.join(inside, "bucket").where(F.col("dv").isNull() | (F.abs(F.col("du") - F.col("dv")) <= near))
-        compare(_pairs(reach, "u", "v"))
-        rest = apart.groupBy("bucket").agg(F.count("*").alias("m"), F.min("content").alias("centre"), F.min("label").alias("l"), F.max("label").alias("h"),
-                                           F.sum(F.xxhash64("content").cast("decimal(38,0)")).alias("all")).where("l <> h")
-        rest = settle(rest)
-        few = rest.where(F.col("m") <= GROUP).groupBy("m", "centre", "all").agg(F.min("bucket").alias("bucket")).select("bucket")
-        links.append(settle(_within(apart.join(few, "bucket").select("bucket", "content", "label"), vec, w, similarity)))
-        members = settle(apart.join(rest.where(F.col("m") > GROUP).select("bucket", "centre"), "bucket").select("bucket", "content", "centre"))
-        if not members.limit(1).count():
-            return settle(all_links())
-
-
-def _within(groups: DataFrame, vec: DataFrame, w: Weights, similarity: float) -> DataFrame:
-    """Links a, b between the texts of groups (bucket, content, label) of bounded size, enough to connect what is similar."""
-    shared = groups.sparkSession.sparkContext.broadcast(w)
+    others = members.where("content <> centre")
+    compare(_pairs(others.groupBy("content").agg(F.min("centre").alias("centre")), "centre", "content"))
+    loose = connected(others).where("label <> centre_label")
+    chosen = [F.min_by("content", F.xxhash64("content", F.lit(k))).alias(f"p{k}") for k in range(PIVOTS)]
+    pivots = members.groupBy("bucket").agg(F.count("*").alias("m"), *chosen).where(F.col("m") >= 5 * PIVOTS)
+    pivots = pivots.select("bucket", F.explode(F.array(*[f"p{k}" for k in range(PIVOTS)])).alias("pivot"))
+    tried = loose.select("centre", "content").union(loose.join(pivots, "bucket").select("pivot", "content"))
+    compare(_pairs(tried, "centre", "content"))
+    judged = connected(others)
+    unsettled = settle(judged.where("label <> centre_label").select("bucket").distinct())
+    judged = settle(judged.join(unsettled, "bucket"))
+    # Distances from the centre of texts that were connected another way.
+    compare(_pairs(judged.where("label = centre_label"), "centre", "content"))
+    judged = judged.withColumns({"a": F.least("centre", "content"), "b": F.greatest("centre", "content"), "apart": F.col("label") != F.col("centre_label")})
+    judged = settle(judged.join(compared, ["a", "b"]).select("bucket", "content", "label", "apart", (1 - F.col("similarity")).alias("d")))
+    least = judged.where("apart").groupBy("bucket").agg(F.min("d").alias("least"))
+    judged = judged.join(least, "bucket").where(F.col("apart") | (F.col("d") >= F.col("least") - near))
+    links.append(settle(_within(judged.select("bucket", "content", "label", "apart"), vec, w, similarity)))
+    return settle(all_links())
+
+
+def _within(rows: DataFrame, vec: DataFrame, w: Weights, similarity: float) -> DataFrame:
+    """Links a, b between the texts apart and all other texts of each bucket (bucket, content, label, apart), enough to connect
+    what is similar. A task gets a block of GROUP texts apart with GROUP others; buckets that bands have in common are done once."""
+    shared = rows.sparkSession.sparkContext.broadcast(w)
+    count = lambda c: F.greatest(F.lit(1), F.ceil(F.count_if(c) / GROUP)).cast("int")
+    sizes = rows.groupBy("bucket").agg(count(F.col("apart")).alias("rows"), count(~F.col("apart")).alias("columns"), F.count("*").alias("m"), F.min("label").alias("l"),
+                                       F.max("label").alias("h"), F.count_if(~F.col("apart")).alias("n_in"), F.sum(F.xxhash64("content", "apart").cast("decimal(38,0)")).alias("all"))
+    sizes = sizes.where("l <> h or n_in > 0").groupBy("m", "all", "n_in").agg(F.min_by(F.struct("bucket", "rows", "columns"), "bucket").alias("s")).select("s.*")
+    at = F.struct(F.pmod(F.xxhash64("content", F.lit(0)), F.col("rows")).alias("row"), F.pmod(F.xxhash64("content", F.lit(1)), F.col("columns")).alias("column"))
+    upto = lambda n: F.sequence(F.lit(0).cast("long"), (F.col(n) - 1).cast("long"))
+    apart = F.concat(F.transform(upto("columns"), lambda c: F.struct(F.lit("in").alias("kind"), F.col("at.row").alias("i"), c.alias("j"))),
+                     F.transform(upto("rows"), lambda r: F.struct(F.lit("apart").alias("kind"), F.least(r, "at.row").alias("i"), F.greatest(r, "at.row").alias("j"))))
+    inside = F.transform(upto("rows"), lambda r: F.struct(F.lit("in").alias("kind"), r.alias("i"), F.col("at.column").alias("j")))
+    blocks = rows.join(sizes, "bucket").withColumn("at", at).select("bucket", "content", "label", "apart", F.explode(F.when(F.col("apart"), apart).otherwise(inside)).alias("block"))
 
     def run(table: pa.Table) -> pa.Table:
         content, first = np.unique(table["content"].to_numpy(), return_index=True)
         rows = table.take(pa.array(first))
         label, m = rows["label"].to_numpy().copy(), len(content)
-        value = [np.frombuffer(x.as_buffer(), U64) for x in rows["shingles"]]
-        weight = [shared.value.of(v, np.frombuffer(t.as_buffer(), np.int32) if len(t.as_buffer()) else 1) for v, t in zip(value, rows["times"])]
-        total = np.array([x.sum() for x in weight])
-        every, owner, weighed = np.concatenate(value), np.repeat(np.arange(m), [len(v) for v in value]), np.concatenate(weight)
-        order = np.argsort(every)
-        every, owner, weighed = every[order], owner[order], weighed[order]
-        out = []
-        for i in range(m):
-            if (label[i:] == label[i]).all():
-                continue
-            low, high = np.searchsorted(every, value[i], "left"), np.searchsorted(every, value[i], "right")
-            at = ranges(low, high - low)
-            common = np.bincount(owner[at], np.minimum(weighed[at], np.repeat(weight[i], high - low)), m)
-            for j in np.flatnonzero(common >= similarity * (total + total[i] - common)):
-                if j > i and label[j] != label[i]:
-                    out.append((min(content[i], content[j]), max(content[i], content[j])))
-                    label[label == label[j]] = label[i]
-        columns = list(zip(*out)) or [(), ()]
+        columns: list = [(), ()]
+        if (label != label[0]).any():
+            value = [np.frombuffer(x.as_buffer(), U64) for x in rows["shingles"]]
+            weight = [shared.value.of(v, np.frombuffer(t.as_buffer(), np.int32) if len(t.as_buffer()) else 1) for v, t in zip(value, rows["times"])]
+            total = np.array([x.sum() for x in weight])
+            every, owner, weighed = np.concatenate(value), np.repeat(np.arange(m), [len(v) for v in value]), np.concatenate(weight)
+            order = np.argsort(every)
+            every, owner, weighed = every[order], owner[order], weighed[order]
+            out = []
+            for i in np.flatnonzero(rows["apart"].to_numpy(zero_copy_only=False)):
+                if (label == label[i]).all():
+                    break
+                low, high = np.searchsorted(every, value[i], "left"), np.searchsorted(every, value[i], "right")
+                at = ranges(low, high - low)
+                common = np.bincount(owner[at], np.minimum(weighed[at], np.repeat(weight[i], high - low)), m)
+                for j in np.flatnonzero(common >= similarity * (total + total[i] - common)):
+                    if label[j] != label[i]:
+                        out.append((min(content[i], content[j]), max(content[i], content[j])))
+                        label[label == label[j]] = label[i]
+            columns = list(zip(*out)) or columns
         return pa.table([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
 
-    return groups.join(vec, "content").select("bucket", "content", "label", "shingles", "times").groupBy("bucket").applyInArrow(run, "a long, b long").distinct()
+    ready_rows = blocks.join(vec, "content").select("bucket", "block", "content", "label", "apart", "shingles", "times")
+    return ready_rows.groupBy("bucket", "block").applyInArrow(run, "a long, b long").distinct()
