@@ -201,6 +201,13 @@ def on_days(tr: DataFrame, outliers: DataFrame) -> DataFrame:
     return tr.join(settle(outliers.select("date", "token")), ["date", "token"])
 
 
+def usual_volume(payments: DataFrame, outliers: DataFrame) -> DataFrame:
+    """Median value moved on a day, for every token that has an outlier. Daily rows only."""
+    days = payments.groupBy("date", "token").agg(F.sum("volume").alias("volume"))
+    return (days.join(outliers.select("token").distinct(), "token", "left_semi")
+            .groupBy("token").agg(F.expr("percentile(volume, 0.5)").alias("median_day_volume")))
+
+
 def supply_events(tr: DataFrame, least: float = BIG_SUPPLY_AMOUNT) -> DataFrame:
     """Large mints and burns with the party on the other side."""
     minted = is_zero(F.col("from_address"))

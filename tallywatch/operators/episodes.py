@@ -65,6 +65,11 @@ def day_flags(pipeline: DataFrame) -> DataFrame:
     return _with_usual_lag(pipeline).select("date", issue.alias("pipeline"))
 
 
+def rewritten_days(flagged: DataFrame) -> DataFrame:
+    """How many days were written late or rewritten: stands beside the agreement with known cases."""
+    return flagged.agg(F.expr("count_if(issue = 'late or rewritten')").alias("rewritten_days"))
+
+
 def issues(pipeline: DataFrame, payments: DataFrame) -> DataFrame:
     """Days to check before explaining any move: block problems first, then the longest delay."""
     moved = payments.groupBy("date").agg(F.sum("transfers").alias("transfers"))

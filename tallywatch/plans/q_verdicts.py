@@ -157,6 +157,11 @@ def _(raw: Raw):
     return episodes.agreement(judged_episodes(raw), cases(raw))
 
 
+@query("rewritten_days", "select count(*) as rewritten_days from z_flagged where issue = 'late or rewritten'")
+def _(raw: Raw):
+    return episodes.rewritten_days(detected(raw).flagged)
+
+
 @query("newest_top_move", """
     select episode_id, token, metric, peak_date, peak_ratio, label from z_judgedeps
     where peak_date >= (select date_trunc('month', max(date)) from z_pay) - interval 2 year and investigated
