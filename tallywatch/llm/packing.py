@@ -17,7 +17,9 @@ PIECES = "doc_id long, start long, ids binary, doc_tokens long, sequence_id long
 #: What the fast way of splitting handles: printable ASCII, tab to carriage return, and letters of Latin-1. Others go whole to the tokenizer.
 SIMPLE = "[\t-\r -~À-ÖØ-öø-ÿ]*"
 PARTS = "'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\t-\r a-zß-öø-ÿ0-9]+"
-MEMO_PARTS = 500_000
+MEMO_PARTS = 200_000
+#: Bytes of ids that a task holds before it hands pieces on.
+HELD_BYTES = 4 << 20
 
 
 class Parts(dict):
@@ -146,21 +148,25 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 4096, end_id: int = 2, mos
         encoder, levels = Encoder(tokenizer, end_id), Levels(size)
         number = TaskContext.get().partitionId() << 40
         out: list[tuple] = []
+        held = 0
 
         def put(window: list) -> None:
-            nonlocal number
+            nonlocal number, held
             offset = 0
             for doc, start, ids, total in window:
                 out.append((doc, start, ids, total, number, offset))
                 offset += len(ids) // 4
+                held += len(ids)
             number += 1
 
         def table() -> pa.RecordBatch:
+            nonlocal held
             columns = list(zip(*out)) or [()] * 6
             kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64())
             names = ("doc_id", "start", "ids", "doc_tokens", "sequence_id", "offset")
             batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
             out.clear()
+            held = 0
             return batch
 
         for batch in batches:
@@ -176,7 +182,7 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 4096, end_id: int = 2, mos
                     if levels.open > most_open:
                         for window in joined(levels.drain(), size):
                             put(window)
-                if len(out) >= 1000:
+                if held >= HELD_BYTES:
                     yield table()
         for window in joined(levels.drain(), size):
             put(window)

@@ -45,8 +45,8 @@ def ready(spark: SparkSession) -> None:
                 z.write(f, f.relative_to(root.parent))
         spark.sparkContext.addPyFile(z.filename)
         _shipped[spark.sparkContext.applicationId] = folder
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
 
 
 def mix(h: np.ndarray) -> np.ndarray:
