@@ -16,14 +16,17 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is determined. `lang` is the declared language, `source` the host. Texts without letters, in none
-    of the languages, or undecided go; null and empty texts go, too. Equal rows share their fate. Empty table: no rows."""
+    of the languages, or undecided go; null and empty texts go, too. A document with letters whose label has too few texts for a
+    model stays: that it fits none of the others tells nothing. Equal rows share their fate. Empty table: no rows."""
     key = row_key(docs, "doc_id", "text", "lang", "source")
     none = F.lit(None).cast("string")
     rows = docs.select(key.alias("id"), docs["text"], docs["lang"].alias("declared"), none.alias("suffix"), none.alias("domain"), docs["source"].alias("host"))
     model = language.fit(docs.select(docs["text"], docs["lang"]))
     # Few documents go, so their keys are the small side, of known size once they are written.
-    gone = settle(language.identify(rows, model).where("rejected").select("id").distinct())
-    return docs.join(gone, key == gone["id"], "left_anti")
+    judged = language.identify(rows, model).where("rejected").select("id", F.col("text_lang").isNull().alias("bare"))
+    gone = settle(judged.groupBy("id").agg(F.max("bare").alias("bare")))
+    unmodelled = docs["lang"].isNotNull() & (docs["lang"] != "") & ~docs["lang"].isin(model.languages)
+    return docs.join(gone, (key == gone["id"]) & (gone["bare"] | ~F.coalesce(unmodelled, F.lit(False))), "left_anti")
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,6 +13,8 @@ from tallywatch.session import settle
 
 #: Labelled texts per language that the model of character trigrams is fitted on, at most.
 SAMPLE_TEXTS = 400
+#: A label with fewer texts gets no model.
+LEAST_TEXTS = 3
 BUCKETS = 1 << 16
 UNKNOWN = "und"
 #: A text's trigrams are far from independent, so their log likelihoods count for this part.
@@ -33,8 +35,13 @@ class Model:
 
     def __init__(self, languages: list[str], counts: np.ndarray):
         self.languages = languages
-        total = counts.sum(axis=1, keepdims=True)
-        self.log = np.log((counts + 0.05) / (total + 0.05 * BUCKETS)).astype(np.float32).T.copy()
+        total = counts.sum(axis=1)
+        most = total.max(initial=0)
+        self.log = np.empty((BUCKETS, len(languages)), np.float32)
+        # Counts are brought to the total of the language with most: a trigram that a language has not shown costs the same in each,
+        # so that one of few texts does not draw what is foreign to all.
+        for k, row in enumerate(counts):
+            self.log[:, k] = np.log((row * (most / max(1, total[k])) + 0.05) / (most + 0.05 * BUCKETS))
 
     @classmethod
     def trigrams(cls, data: np.ndarray) -> np.ndarray:
@@ -79,19 +86,15 @@ def _letters() -> np.ndarray:
 
 def fit(labelled: DataFrame, sample_texts: int = SAMPLE_TEXTS) -> Model:
     """`labelled`: text, lang. The model is fitted on at most `sample_texts` texts of each language, those of least hash (a bound
-    of the sample, not of what is judged); languages are those of at least a thousandth of the labelled rows."""
+    of the sample, not of what is judged). Every label with LEAST_TEXTS texts is a language, however small its share and however many
+    there are. A label with fewer has no model: its documents are judged by the models of the others."""
     from pyspark.sql import Window as W
 
     labelled = labelled.where("lang is not null and lang <> '' and text is not null")
-    n = labelled.groupBy("lang").agg(F.count("*").alias("n"))
-    counts = {r["lang"]: r["n"] for r in n.orderBy(F.desc("n"), "lang").limit(64).collect()}
-    languages = sorted(k for k, v in counts.items() if v * 1000 >= sum(counts.values()))
-    if not languages:
-        return Model([], np.zeros((0, BUCKETS)))
+    n = settle(labelled.groupBy("lang").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_TEXTS))
     # A row is considered with a chance that leaves about four times the sample, then ranked within a few groups per language.
-    share = F.element_at(F.create_map(*[x for k in languages for x in (F.lit(k), F.lit(min(1.0, 4 * sample_texts / counts[k])))]), F.col("lang"))
     u = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    few = labelled.where(F.col("lang").isin(languages)).withColumn("u", u).where(F.col("u") < share)
+    few = labelled.join(n, "lang").withColumn("u", u).where(F.col("u") * F.col("n") < 4 * sample_texts)
     few = few.dropDuplicates(["lang", "u"]).withColumn("r", F.row_number().over(W.partitionBy("lang").orderBy("u"))).where(F.col("r") <= sample_texts)
 
     def count(table: pa.Table) -> pa.Table:
@@ -99,12 +102,15 @@ def fit(labelled: DataFrame, sample_texts: int = SAMPLE_TEXTS) -> Model:
         for text in table["text"]:
             data = np.frombuffer(text.as_py().encode(), np.uint8)
             total += np.bincount(Model.trigrams(data), minlength=BUCKETS)
-        return pa.table([pa.array([table["lang"][0].as_py()]), pa.array([total.tobytes()])], ["lang", "counts"])
-
-    # A row of BUCKETS counts per language.
-    rows = {r["lang"]: np.frombuffer(bytes(r["counts"]), np.int64) for r in few.select("lang", "text").groupBy("lang").applyInArrow(count, "lang string, counts binary").collect()}
-    languages = sorted(rows)
-    return Model(languages, np.stack([rows[k] for k in languages]))
+        seen = np.flatnonzero(total)
+        return pa.table([pa.array([table["lang"][0].as_py()]), pa.array([seen.astype(np.uint16).tobytes()]), pa.array([total[seen].tobytes()])], ["lang", "grams", "counts"])
+
+    # The trigrams seen in each language's sample: at most BUCKETS, whatever the input.
+    rows = few.select("lang", "text").groupBy("lang").applyInArrow(count, "lang string, grams binary, counts binary").orderBy("lang").collect()
+    counts = np.zeros((len(rows), BUCKETS), np.int64)
+    for own, r in zip(counts, rows):
+        own[np.frombuffer(bytes(r["grams"]), np.uint16)] = np.frombuffer(bytes(r["counts"]), np.int64)
+    return Model([r["lang"] for r in rows], counts)
 
 
 def likelihoods(rows: DataFrame, model: Model, markup: bool) -> DataFrame:

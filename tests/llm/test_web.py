@@ -143,3 +143,31 @@ def test_held_out_accuracy(spark):
     rows = docs.where("doc_id % 2 = 1").select(F.col("doc_id").alias("id"), "text", none.alias("declared"), none.alias("suffix"), none.alias("domain"), none.alias("host"))
     right = language.identify(rows, model).join(docs.select(F.col("doc_id").alias("id"), F.col("lang").alias("true")), "id").select(F.avg((F.col("lang") == F.col("true")).cast("int"))).first()[0]
     assert right >= 0.97
+
+
+def test_small_languages_have_models(spark):
+    """A share of under a thousandth, more than 64 languages, and labels with fewer texts than a model takes."""
+    rng = random.Random(6)
+
+    def word(k):
+        return "".join(chr(0x4E00 + 40 * k + rng.randint(0, 9)) for _ in range(4))
+
+    labelled = [doc(i, speech(rng, "aa", 8), "aa") for i in range(6000)]
+    labelled += [doc(i, " ".join(word(k) for _ in range(20)), f"l{k:02}") for k in range(70) for i in range(5)]
+    labelled += [doc(i, " ".join(word(90) for _ in range(20)), "rare") for i in range(language.LEAST_TEXTS - 1)]
+    model = language.fit(spark.createDataFrame(labelled, DOCS).select("text", "lang"))
+    assert model.languages == ["aa", *(f"l{k:02}" for k in range(70))]
+    kind = "id long, text string, declared string, suffix string, domain string, host string"
+    rows = [(k, " ".join(word(k) for _ in range(60)), f"l{k:02}", None, None, None) for k in range(70)] + [(100, speech(rng, "aa", 60), None, None, None, None)]
+    got = {r.id: r.lang for r in language.identify(spark.createDataFrame(rows, kind), model).collect()}
+    assert got == {k: f"l{k:02}" for k in range(70)} | {100: "aa"}
+
+
+def test_stage_keeps_documents_of_labels_without_a_model(spark):
+    import corpus_pipeline
+    rng = random.Random(7)
+    rows = [doc(i, speech(rng, lang, 300), lang) for i, lang in enumerate(["aa", "bb"] * 40)]
+    foreign = "".join(chr(0x4E00 + rng.randint(0, 5000)) for _ in range(300))
+    rows += [doc(200, foreign, "rare"), doc(201, foreign, None), doc(202, "12 !!", "rare"), doc(203, None, "rare")]
+    kept = {r.doc_id for r in corpus_pipeline.by_language(spark, spark.createDataFrame(rows, DOCS), "").collect()}
+    assert kept == {*range(80), 200}
