@@ -13,7 +13,7 @@ from tallywatch.session import settle
 
 #: Labelled texts per language that the model of character trigrams is fitted on, at most.
 SAMPLE_TEXTS = 400
-#: A label with fewer texts gets no model.
+#: A label with fewer distinct texts gets no model.
 LEAST_TEXTS = 3
 BUCKETS = 1 << 16
 UNKNOWN = "und"
@@ -86,16 +86,20 @@ def _letters() -> np.ndarray:
 
 def fit(labelled: DataFrame, sample_texts: int = SAMPLE_TEXTS) -> Model:
     """`labelled`: text, lang. The model is fitted on at most `sample_texts` texts of each language, those of least hash (a bound
-    of the sample, not of what is judged). Every label with LEAST_TEXTS texts is a language, however small its share and however many
+    of the sample, not of what is judged). Every label with LEAST_TEXTS distinct texts is a language, however small its share and however many
     there are. A label with fewer has no model: its documents are judged by the models of the others."""
     from pyspark.sql import Window as W
 
     labelled = labelled.where("lang is not null and lang <> '' and text is not null")
-    n = settle(labelled.groupBy("lang").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_TEXTS))
-    # A row is considered with a chance that leaves about four times the sample, then ranked within a few groups per language.
-    u = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    few = labelled.join(n, "lang").withColumn("u", u).where(F.col("u") * F.col("n") < 4 * sample_texts)
-    few = few.dropDuplicates(["lang", "u"]).withColumn("r", F.row_number().over(W.partitionBy("lang").orderBy("u"))).where(F.col("r") <= sample_texts)
+    # Copies count once: chances are taken over distinct texts, so that a language of mostly copies has its whole sample, too.
+    labelled = labelled.withColumn("h", F.xxhash64("text"))
+    distinct = labelled.select("lang", "h").distinct()
+    n = settle(distinct.groupBy("lang").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_TEXTS))
+    # A text is considered with a chance that leaves about four times the sample (all texts where there are fewer), then ranked
+    # per language; that fewer than the sample are left has a probability below e^-400.
+    u = F.pmod("h", F.lit(1 << 30)) / F.lit(float(1 << 30))
+    few = labelled.join(n, "lang").where(u * F.col("n") < 4 * sample_texts).dropDuplicates(["lang", "h"])
+    few = few.withColumn("r", F.row_number().over(W.partitionBy("lang").orderBy(u, "h"))).where(F.col("r") <= sample_texts)
 
     def count(table: pa.Table) -> pa.Table:
         total = np.zeros(BUCKETS, np.int64)

@@ -163,6 +163,19 @@ def test_small_languages_have_models(spark):
     assert got == {k: f"l{k:02}" for k in range(70)} | {100: "aa"}
 
 
+def test_copies_do_not_thin_the_sample(spark):
+    """Rows that are nearly all copies: the sample has every distinct text, or as many as asked for."""
+    rng = random.Random(8)
+    bb = [speech(rng, "bb", 5) for _ in range(5)]
+    labelled = [doc(i, bb[i % 5], "bb") for i in range(20_000)] + [doc(i, speech(rng, "aa", 5), "aa") for i in range(50)]
+    df = spark.createDataFrame(labelled, DOCS).select("text", "lang")
+    model = language.fit(df, 10)
+    assert model.languages == ["aa", "bb"]
+    grams = [set(language.Model.trigrams(language.np.frombuffer(t.encode(), "u1")).tolist()) for t in bb]
+    seen = model.log[:, 1] > model.log[:, 1].min()
+    assert set(language.np.flatnonzero(seen).tolist()) == set().union(*grams)
+
+
 def test_stage_keeps_documents_of_labels_without_a_model(spark):
     import corpus_pipeline
     rng = random.Random(7)
