@@ -123,14 +123,40 @@ def parse(page: str) -> Node:
 LABELS, MANY, OPTIONAL, SEEN, TEXT, CHARS, ITEMS = range(7)
 
 
+def _flat(step):
+    """Runs a recursive function written as a generator (`yield` of a generator is the call) on a stack of its own, so that pages may
+    nest as deep as they like."""
+    stack, value = [step], None
+    while stack:
+        try:
+            stack.append(stack[-1].send(value))
+            value = None
+        except StopIteration as end:
+            stack.pop()
+            value = end.value
+    return value
+
+
 def shape(node: Node) -> list:
     """The wrapper of one page's element."""
+    return _flat(_shape(node))
+
+
+def combine(a: list, b: list) -> list:
+    """One item for two aligned ones: texts that differ become a slot."""
+    return _flat(_combine(a, b))
+
+
+def _shape(node: Node):
     texts = [p for p in node.parts if isinstance(p, str)]
     text = " ".join(texts) if texts else None
-    return [[node.label], False, False, 1, text if text is None or len(text) <= 80 else True, sum(map(len, texts)), squares([shape(x) for x in node.nodes()])]
+    inner = []
+    for x in node.nodes():
+        inner.append((yield _shape(x)))
+    return [[node.label], False, False, 1, text if text is None or len(text) <= 80 else True, sum(map(len, texts)), (yield _squares(inner))]
 
 
-def squares(items: list) -> list:
+def _squares(items: list):
     """Repeats next to each other become one repeated item (x x -> x+) or group (x y x y -> (x y)+)."""
     for period in (1, 2, 3):
         out: list = []
@@ -148,23 +174,37 @@ def squares(items: list) -> list:
             if period == 1:
                 merged = items[i]
                 for x in items[i + 1:i + rounds]:
-                    merged = combine(merged, x)
+                    merged = yield _combine(merged, x)
                 merged[MANY], merged[SEEN] = True, 1
                 out.append(merged)
             else:
                 inner = run
                 for r in range(1, rounds):
-                    inner = align(inner, items[i + r * period:i + (r + 1) * period])
+                    inner = yield _align(inner, items[i + r * period:i + (r + 1) * period])
                 out.append([[n for names_ in names for n in names_], True, False, 1, None, 0, inner])
             i += rounds * period
         items = out
     return items
 
 
-def combine(a: list, b: list) -> list:
-    """One item for two aligned ones: texts that differ become a slot."""
+def same(a: list, b: list) -> bool:
+    try:
+        return a == b
+    except RecursionError:
+        todo = [(a, b)]
+        while todo:
+            for x, y in zip(*(pair := todo.pop())):
+                if x[:ITEMS] != y[:ITEMS] or len(x[ITEMS]) != len(y[ITEMS]):
+                    return False
+                todo.append((x[ITEMS], y[ITEMS]))
+            if len(pair[0]) != len(pair[1]):
+                return False
+        return True
+
+
+def _combine(a: list, b: list):
     text = a[TEXT] if a[TEXT] == b[TEXT] else True
-    items = a[ITEMS] if a[ITEMS] == b[ITEMS] else align(a[ITEMS], b[ITEMS])
+    items = a[ITEMS] if same(a[ITEMS], b[ITEMS]) else (yield _align(a[ITEMS], b[ITEMS]))
     return [a[LABELS], a[MANY] or b[MANY], a[OPTIONAL] or b[OPTIONAL], a[SEEN] + b[SEEN], text, a[CHARS] + b[CHARS], items]
 
 
@@ -183,15 +223,18 @@ def grouped(items: list, groups: list) -> list:
     return items
 
 
-def align(a: list, b: list) -> list:
+def _align(a: list, b: list):
     """Longest common subsequence of both sides' labels; what stands on one side only becomes optional."""
     a, b = grouped(a, [x for x in b if len(x[LABELS]) > 1]), grouped(b, [x for x in a if len(x[LABELS]) > 1])
     if [x[LABELS] for x in a] == [x[LABELS] for x in b]:
-        return [combine(x, y) for x, y in zip(a, b)]
+        both = []
+        for x, y in zip(a, b):
+            both.append((yield _combine(x, y)))
+        return both
     out = []
     for x, y in matched(a, b):
         if x is not None and y is not None:
-            out.append(combine(x, y))
+            out.append((yield _combine(x, y)))
         else:
             lone = list(x if x is not None else y)
             lone[OPTIONAL] = True
@@ -200,7 +243,7 @@ def align(a: list, b: list) -> list:
     merged: list = []
     for x in out:
         if merged and merged[-1][LABELS] == x[LABELS]:
-            merged[-1] = combine(merged[-1], x)
+            merged[-1] = yield _combine(merged[-1], x)
             merged[-1][MANY] = True
         else:
             merged.append(x)
@@ -227,6 +270,24 @@ def matched(a: list, b: list) -> list[tuple]:
     return out
 
 
+def dump(wrapper: list) -> str:
+    """JSON of the items in page order, each with the number of items in it: flat, however deep the wrapper."""
+    out, todo = [], [wrapper]
+    while todo:
+        x = todo.pop()
+        out.append([*x[:ITEMS], len(x[ITEMS])])
+        todo += reversed(x[ITEMS])
+    return json.dumps(out)
+
+
+def load(text: str) -> list:
+    done: list = []
+    for *x, n in reversed(json.loads(text)):
+        x.append([done.pop() for _ in range(n)])
+        done.append(x)
+    return done[0]
+
+
 def _outside(label: str, inner: list | None, in_article: bool) -> bool:
     name, _, marks = label.partition(".")
     if name in ("article", "main", "body", "html", "root"):
@@ -236,70 +297,73 @@ def _outside(label: str, inner: list | None, in_article: bool) -> bool:
     return _marked(name, marks)
 
 
-def choose(wrapper: list) -> list[tuple[int, ...]]:
-    """Places (indices from the root) of the items whose text is main text: articles, else main, else the innermost item that
-    holds most of the varying text."""
-    def find(kind: str) -> list[tuple[int, ...]]:
-        found = []
-
-        def walk(items: list, place: tuple) -> None:
-            for i, x in enumerate(items):
-                label = x[LABELS][0] if len(x[LABELS]) == 1 else "group"
-                name, _, marks = label.partition(".")
-                if name == kind or kind == "main" and re.search(r"\bmain\b", marks) and name in ("div", "section"):
-                    found.append((*place, i))
-                elif not _outside(label, x[ITEMS], False):
-                    walk(x[ITEMS], (*place, i))
-
-        walk(wrapper[ITEMS], ())
+def choose(wrapper: list) -> list[list]:
+    """Items whose text is main text: articles, else main, else the innermost item that holds most of the varying text."""
+    def find(kind: str) -> list[list]:
+        found, todo = [], wrapper[ITEMS][::-1]
+        while todo:
+            x = todo.pop()
+            label = x[LABELS][0] if len(x[LABELS]) == 1 else "group"
+            name, _, marks = label.partition(".")
+            if name == kind or kind == "main" and re.search(r"\bmain\b", marks) and name in ("div", "section"):
+                found.append(x)
+            elif not _outside(label, x[ITEMS], False):
+                todo += reversed(x[ITEMS])
         return found
 
-    def mass(item: list) -> int:
-        own = item[CHARS] if item[TEXT] is True or item[SEEN] < 3 else 0
-        return own + sum(mass(x) for x in item[ITEMS] if not _outside(x[LABELS][0], x[ITEMS], False))
+    mass: dict[int, int] = {}
+
+    def weigh(item: list):
+        total = item[CHARS] if item[TEXT] is True or item[SEEN] < 3 else 0
+        for x in item[ITEMS]:
+            if not _outside(x[LABELS][0], x[ITEMS], False):
+                total += yield weigh(x)
+        mass[id(item)] = total
+        return total
 
     for kind in ("article", "main"):
-        if places := find(kind):
-            return places
-    place, item, whole = (), wrapper, mass(wrapper)
+        if items := find(kind):
+            return items
+    item, whole = wrapper, _flat(weigh(wrapper))
     while True:
-        inner = [(mass(x), i) for i, x in enumerate(item[ITEMS]) if not _outside(x[LABELS][0], x[ITEMS], False)]
+        inner = [(mass[id(x)], i) for i, x in enumerate(item[ITEMS]) if not _outside(x[LABELS][0], x[ITEMS], False)]
         heavy = max(inner, default=(0, 0))
         if not inner or heavy[0] * 10 < whole * 8 or item[ITEMS][heavy[1]][MANY]:
-            return [place]
-        place, item = (*place, heavy[1]), item[ITEMS][heavy[1]]
+            return [item]
+        item = item[ITEMS][heavy[1]]
 
 
-def extract(root: Node, wrapper: list, main: list[tuple[int, ...]]) -> str:
+def extract(root: Node, wrapper: list, main: list[list]) -> str:
     """Blocks of the page's elements that align with the wrapper's main items, or lie inside one."""
     blocks: list[str] = []
-    chosen = set(main)
+    chosen = {id(x) for x in main}
 
     def emit(node: Node) -> None:
-        for part in node.parts:
+        todo = [node]
+        while todo:
+            part = todo.pop()
             if isinstance(part, str):
                 blocks.append(part)
-            elif not _outside(part.label, [[[x.label]] for x in part.nodes()], True):
-                emit(part)
+            elif part is node or not _outside(part.label, [[[x.label]] for x in part.nodes()], True):
+                todo += reversed(part.parts)
 
-    def seek(node: Node, items: list, place: tuple) -> None:
-        if place in chosen:
+    todo = [(root, wrapper)]
+    while todo:
+        node, item = todo.pop()
+        if id(item) in chosen:
             emit(node)
-            return
-        by_label = [(i, x) for i, x in enumerate(items)]
-        cursor = 0
+            continue
+        found, cursor, by_place = [], 0, list(enumerate(item[ITEMS]))
         for child in node.nodes():
-            hit = next(((i, x) for i, x in by_label[cursor:] + by_label[:cursor] if child.label in x[LABELS]), None)
+            hit = next(((i, x) for i, x in by_place[cursor:] + by_place[:cursor] if child.label in x[LABELS]), None)
             if hit:
                 i, x = hit
                 cursor = i if x[MANY] else i + 1
-                if len(x[LABELS]) > 1:
-                    j, inner = next((j, y) for j, y in enumerate(x[ITEMS]) if child.label in y[LABELS])
-                    seek(child, inner[ITEMS], (*place, i, j)) if (*place, i) not in chosen else emit(child)
-                else:
-                    seek(child, x[ITEMS], (*place, i))
-
-    seek(root, wrapper[ITEMS], ())
+                if len(x[LABELS]) > 1 and id(x) not in chosen:
+                    # A group's elements align with its own items.
+                    x = next(y for y in x[ITEMS] if child.label in y[LABELS])
+                found.append((child, x))
+        todo += reversed(found)
     return "\n".join(blocks)
 
 
@@ -321,7 +385,7 @@ def infer(pages: DataFrame) -> DataFrame:
         held: dict[str, list] = {}
 
         def out() -> pa.RecordBatch:
-            batch = pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array([json.dumps(w) for w in held.values()], pa.string())], ["host", "wrapper"])
+            batch = pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array([dump(w) for w in held.values()], pa.string())], ["host", "wrapper"])
             held.clear()
             return batch
 
@@ -337,8 +401,8 @@ def infer(pages: DataFrame) -> DataFrame:
     def merge(table: pa.Table) -> pa.Table:
         wrapper = None
         for text in sorted(table["wrapper"].to_pylist()):
-            wrapper = combine(wrapper, json.loads(text)) if wrapper else json.loads(text)
-        return pa.table([pa.array([table["host"][0].as_py()]), pa.array([json.dumps(wrapper)])], ["host", "wrapper"])
+            wrapper = combine(wrapper, load(text)) if wrapper else load(text)
+        return pa.table([pa.array([table["host"][0].as_py()]), pa.array([dump(wrapper)])], ["host", "wrapper"])
 
     folded = pages.select(host_of().alias("host"), "html").mapInArrow(fold, "host string, wrapper string")
     salted = folded.withColumn("salt", F.pmod(F.xxhash64("wrapper"), F.lit(32)))
@@ -371,7 +435,7 @@ def main_text(pages: DataFrame) -> DataFrame:
                 if text not in known:
                     if len(known) > HOSTS_HELD:
                         known.clear()
-                    wrapper = json.loads(text)
+                    wrapper = load(text)
                     known[text] = (wrapper, choose(wrapper))
                 out.append(extract(parse(page.as_py() or ""), *known[text]))
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(out, pa.string())], ["page_id", "url", "text"])

@@ -86,6 +86,15 @@ def test_wrapper_finds_the_text_without_landmarks(spark):
     assert {i: t.replace("by someone\n", "") for i, t in got.items()} == {i: t for i, (_, t) in enumerate(made)}
 
 
+def test_deep_pages(spark):
+    """Elements nested 5,000 deep, two such pages of one host that differ at the bottom, and repeats of deep elements."""
+    deep = "<body>" + "<div>" * 5000
+    rows = [page(1, "http://d.org/1", deep + "<p>bottom one"), page(2, "http://d.org/2", deep + "<p>bottom two<p>more"), page(3, "http://d.org/3", deep + "<p>bottom one"),
+            page(4, "http://e.org/", article("<p>top</p>" + "<div>" * 5000 + "low", tail="")), page(5, "http://f.org/", "<body>" + ("<div>" * 3000 + "x" + "</div>" * 3000) * 2)]
+    got = {r.page_id: r.text for r in wrappers.main_text(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got == {1: "bottom one", 2: "bottom two\nmore", 3: "bottom one", 4: "top\nlow", 5: "x\nx"}
+
+
 def test_repeats_become_groups():
     a, b = (wrappers.shape(wrappers.parse("<body>" + "<h2>t</h2><p>x</p>" * n + "</body>")) for n in (3, 1))
     body = wrappers.combine(a, b)[wrappers.ITEMS][0]
