@@ -297,8 +297,9 @@ def _outside(label: str, inner: list | None, in_article: bool) -> bool:
     return _marked(name, marks)
 
 
-def choose(wrapper: list) -> list[list]:
-    """Items whose text is main text: articles, else main, else the innermost item that holds most of the varying text."""
+def choose(wrapper: list) -> tuple[list[list], list[list], list[list], set[str]]:
+    """Items whose text may be main text: articles, main elements, the innermost item that holds most of the varying text. And the
+    texts that are the same on all pages."""
     def find(kind: str) -> list[list]:
         found, todo = [], wrapper[ITEMS][::-1]
         while todo:
@@ -321,19 +322,34 @@ def choose(wrapper: list) -> list[list]:
         mass[id(item)] = total
         return total
 
-    for kind in ("article", "main"):
-        if items := find(kind):
-            return items
     item, whole = wrapper, _flat(weigh(wrapper))
+    fixed, todo = set(), [wrapper]
+    while todo:
+        x = todo.pop()
+        if isinstance(x[TEXT], str) and x[SEEN] >= 3:
+            fixed.add(x[TEXT])
+        todo += x[ITEMS]
     while True:
         inner = [(mass[id(x)], i) for i, x in enumerate(item[ITEMS]) if not _outside(x[LABELS][0], x[ITEMS], False)]
         heavy = max(inner, default=(0, 0))
         if not inner or heavy[0] * 10 < whole * 8 or item[ITEMS][heavy[1]][MANY]:
-            return [item]
+            return find("article"), find("main"), [item], fixed
         item = item[ITEMS][heavy[1]]
 
 
-def extract(root: Node, wrapper: list, main: list[list]) -> str:
+def extract(root: Node, wrapper: list, kinds: tuple[list[list], list[list], list[list], set[str]]) -> str:
+    """The page's main text, by the first kind of places that holds text on this page: articles, unless they hold less than half of
+    what varies in the wider place (teasers), main elements, the heaviest item; else all that is not left out by element or class."""
+    *places, fixed = kinds
+    weigh = lambda blocks: sum(len(b) for b in blocks if b not in fixed)
+    articles, mains, heavy = (aligned(root, wrapper, x) if x else [] for x in places)
+    wider = mains or heavy
+    if articles and weigh(articles) * 2 >= weigh(wider):
+        return "\n".join(articles)
+    return "\n".join(wider or articles or aligned(root, wrapper, [wrapper]))
+
+
+def aligned(root: Node, wrapper: list, main: list[list]) -> list[str]:
     """Blocks of the page's elements that align with the wrapper's main items, or lie inside one."""
     blocks: list[str] = []
     chosen = {id(x) for x in main}
@@ -364,7 +380,7 @@ def extract(root: Node, wrapper: list, main: list[list]) -> str:
                     x = next(y for y in x[ITEMS] if child.label in y[LABELS])
                 found.append((child, x))
         todo += reversed(found)
-    return "\n".join(blocks)
+    return blocks
 
 
 def host_of(url: str = "url"):
@@ -415,8 +431,8 @@ def main_text(pages: DataFrame) -> DataFrame:
 
     Method: for every host a union-free regular expression is inferred by aligning its pages' token streams: elements on one side
     only become optional, adjacent repeats become repeated items or groups, texts that differ become slots. The wrapper tells
-    where the main text lies (its articles, else its main element, else the innermost item with most of the varying text), and
-    each page's elements are aligned with it. Menus, headers, footers, sidebars, notices, adverts, forms and comments are left out
+    where main text may lie (articles, main elements, the innermost item with most of the varying text); each page's elements are
+    aligned with it, and the page's text is that of the first kind that it has, teaser articles aside. Menus, headers, footers, sidebars, notices, adverts, forms and comments are left out
     by element and class. Within a block white space becomes one space; blocks are joined by a line feed.
 
     Null or empty html: empty text. Null url or no ://: the pages of that kind share a wrapper. Repeated rows: each is extracted.

@@ -95,6 +95,18 @@ def test_deep_pages(spark):
     assert got == {1: "bottom one", 2: "bottom two\nmore", 3: "bottom one", 4: "top\nlow", 5: "x\nx"}
 
 
+def test_mixed_layouts_of_a_host(spark):
+    """Pages with an article, with main and with a div, and cards in articles beside the text, share a host or have no url."""
+    text = [f"Story {i} " + " ".join(f"w{i}x{j}" for j in range(60)) for i in range(24)]
+    cards = lambda i: "".join(f"<article><h3>card {i} {j}</h3></article>" for j in range(3))
+    bodies = [lambda i: f"<article><p>{text[i]}</p></article>", lambda i: f"<main><p>{text[i]}</p></main>", lambda i: f"<div class='box'><p>{text[i]}</p></div>",
+              lambda i: f"<main><div class='story'><p>{text[i]}</p></div></main><div class='more'>{cards(i)}</div>"]
+    made = [f"<html><body><nav>menu</nav>{bodies[i % 4](i)}<footer>foot</footer></body></html>" for i in range(24)]
+    rows = [page(i, "http://mixed.org/", h) for i, h in enumerate(made)] + [page(100 + i, None, h) for i, h in enumerate(made)]
+    got = {r.page_id: r.text for r in wrappers.main_text(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got == {k + i: t for k in (0, 100) for i, t in enumerate(text)}
+
+
 def test_repeats_become_groups():
     a, b = (wrappers.shape(wrappers.parse("<body>" + "<h2>t</h2><p>x</p>" * n + "</body>")) for n in (3, 1))
     body = wrappers.combine(a, b)[wrappers.ITEMS][0]
