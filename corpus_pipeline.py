@@ -30,16 +30,22 @@ def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least doc_id of every class of near duplicates. Of rows with one doc_id one stays. A document without
-    doc_id stays. Null and empty texts are classes of their own. Empty table: no rows."""
-    classes = neardup.classes(docs)
-    gone = settle(classes.where("doc_id <> class_id").select(F.col("doc_id").alias("gone_id")).distinct())
-    kept = docs.join(gone, docs["doc_id"].cast("long") == gone["gone_id"], "left_anti")
-    again = settle(docs.where(docs["doc_id"].isNotNull()).groupBy(docs["doc_id"].alias("again_id")).agg(F.count("*").alias("n")).where("n > 1").select("again_id"))
-    if not again.limit(1).count():
+    """The document with the least doc_id of every class of near duplicates. Of rows with one doc_id and the same words one stays;
+    rows with one doc_id and unlike texts are documents of their own. A document without doc_id stays. Null and empty texts are
+    classes of their own. Empty table: no rows."""
+    rows = settle(neardup.placed(docs).where("doc_id is not null"))
+    copies = rows.where("content is not null and (doc_id <> class_id or content <> keeper)").select("doc_id", "text_key")
+    # Rows of one doc_id with the same words: those of one text stay, and of these one.
+    again = settle(rows.groupBy("doc_id", "content").agg(F.count("*").alias("n"), F.min("text_key").alias("least")).where("n > 1"))
+    repeated = rows.join(again, (rows["doc_id"] == again["doc_id"]) & rows["content"].eqNullSafe(again["content"])).select(rows["doc_id"], "text_key", "least")
+    repeated = settle(repeated.distinct())
+    gone = settle(copies.union(repeated.where("text_key <> least").select("doc_id", "text_key")).distinct())
+    at = lambda other: (docs["doc_id"].cast("long") == other["doc_id"]) & (neardup.text_key(docs) == other["text_key"])
+    kept = docs.join(gone, at(gone), "left_anti")
+    if not repeated.limit(1).count():
         return kept
-    once = kept.join(again, kept["doc_id"] == again["again_id"], "left_anti")
-    return once.unionByName(kept.join(again, kept["doc_id"] == again["again_id"], "left_semi").dropDuplicates(["doc_id"]))
+    once = kept.join(repeated, at(repeated), "left_anti")
+    return once.unionByName(kept.join(repeated, at(repeated), "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywatch.llm.words import FOLDED, U64, gram_hashes, mix, ranges, ready, run_hashes, word_chunks
@@ -150,14 +150,14 @@ def samples(text: np.ndarray, value: np.ndarray, weight: np.ndarray, bound: np.n
 
 
 def signatures(docs: DataFrame, w: Weights, similarity: float = SIMILARITY) -> DataFrame:
-    """doc_id, content (hash of the words; null without words), bands (array of long). A band's key holds the text's weight class,
+    """doc_id, text_key, content (hash of the words; null without words), bands (array of long). A band's key holds the text's weight class,
     too: weights of similar texts differ by the factor 1 / similarity at most, so their classes are the same or next to each
     other. Each text has a key for its own class and one for the class above, and so shares a key with both kinds."""
     shared = docs.sparkSession.sparkContext.broadcast(w)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("doc_id")
+            ids, text_keys = batch.column("doc_id"), batch.column("text_key")
             for c in word_chunks(batch.column("text"), FOLDED, 1 << 20):
                 text, value, times = shingles(c)
                 n = c.high - c.low
@@ -179,9 +179,9 @@ def signatures(docs: DataFrame, w: Weights, similarity: float = SIMILARITY) -> D
                 present[some] = True
                 at = np.concatenate(([0], np.cumsum(np.where(present, 2 * BANDS, 0)))).astype(np.int32)
                 bands = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(keys[present].ravel(), pa.int64()))
-                yield pa.RecordBatch.from_arrays([ids.slice(c.low, n), pa.array(content, pa.int64(), mask=~present), bands], ["doc_id", "content", "bands"])
+                yield pa.RecordBatch.from_arrays([ids.slice(c.low, n), text_keys.slice(c.low, n), pa.array(content, pa.int64(), mask=~present), bands], ["doc_id", "text_key", "content", "bands"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, content long, bands array<long>")
+    return docs.select("doc_id", text_key(docs).alias("text_key"), "text").mapInArrow(run, "doc_id long, text_key long, content long, bands array<long>")
 
 
 def vectors(docs: DataFrame) -> DataFrame:
@@ -236,6 +236,11 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def text_key(docs: DataFrame) -> Column:
+    """Tells the texts of rows with the same doc_id, or with none, apart."""
+    return F.xxhash64(docs["text"])
+
+
 def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, class_id (least doc_id of the class), n_links (links verified between this document's text and other texts).
 
@@ -248,24 +253,39 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     of its own. Repeated rows: each row is returned, with the same class. Texts of fewer than five words are one shingle. Empty
     table: no rows. Other columns are not looked at.
     """
+    return placed(docs, similarity).select("doc_id", "class_id", "n_links")
+
+
+def placed(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """What `classes` returns, and of each row text_key, content (null without words) and keeper: the content, among those of the
+    class, that has class_id (the least if several have it, or if none has a doc_id). Classes may share a class_id where unlike texts
+    share a doc_id; their keepers differ."""
     ready(docs.sparkSession)
     slim = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"])
     w = weights(slim)
     sig = settle(signatures(slim, w, similarity))
-    texts = sig.where("content is not null").groupBy("content").agg(F.min("doc_id").alias("text_id"), F.min("bands").alias("bands"))
-    keyed = settle(texts.select("content", "text_id", F.explode("bands").alias("bucket")))
+    # One row stands for each content, found again by doc_id and text_key; one without doc_id only where all are.
+    row = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_key")
+    texts = sig.where("content is not null").groupBy("content").agg(F.min(row).alias("row"), F.min("bands").alias("bands"))
+    texts = settle(texts.select("content", F.col("row.doc_id").alias("text_id"), F.col("row.text_key").alias("text_key"), "bands"))
+    keyed = settle(texts.select("content", "text_id", "text_key", F.explode("bands").alias("bucket")))
     crowded = keyed.groupBy("bucket").agg(F.count("*").alias("m"), F.min("content").alias("centre")).where("m > 1")
-    members = settle(keyed.join(crowded, "bucket").select("bucket", "content", "text_id", "centre"))
-    chosen = members.select(F.col("text_id").alias("doc_id")).distinct()
-    vec = settle(vectors(slim.join(chosen, "doc_id", "left_semi")))
-    links = _links(members.drop("text_id"), vec, w, similarity)
+    members = settle(keyed.join(crowded, "bucket").select("bucket", "content", "text_id", "text_key", "centre"))
+    chosen = settle(members.select("text_id", "text_key").distinct())
+    own = slim.withColumn("text_key", text_key(slim))
+    own = own.join(chosen, own["doc_id"].eqNullSafe(chosen["text_id"]) & (own["text_key"] == chosen["text_key"]), "left_semi")
+    # Rows repeated with id and text, or without id, are one vector.
+    vec = settle(vectors(own.groupBy("doc_id", "text_key").agg(F.first("text").alias("text"))))
+    links = _links(members.select("bucket", "content", "centre"), vec, w, similarity)
     label = components(links).withColumnRenamed("node", "content")
     degree = links.select(F.col("a").alias("content")).union(links.select("b")).groupBy("content").agg(F.count("*").alias("n_links"))
-    linked = settle(label.join(degree, "content").join(sig.where("content is not null").groupBy("content").agg(F.min("doc_id").alias("text_id")), "content"))
-    named = linked.join(linked.groupBy("label").agg(F.min("text_id").alias("class_id")), "label").select("content", "class_id", "n_links")
-    alone = sig.where("content is not null").groupBy("content").agg(F.min("doc_id").alias("text_id"))
-    known = alone.join(named, "content", "left").select("content", F.coalesce("class_id", "text_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    return sig.join(known, "content", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    linked = settle(label.join(degree, "content").join(texts.select("content", "text_id"), "content"))
+    first = F.min(F.struct(F.col("text_id").isNull().alias("nameless"), "text_id", "content")).alias("first")
+    named = linked.join(linked.groupBy("label").agg(first), "label").select("content", F.col("first.text_id").alias("class_id"), F.col("first.content").alias("keeper"), "n_links")
+    known = texts.select("content", "text_id").join(named, "content", "left")
+    known = known.select("content", F.coalesce("class_id", "text_id").alias("class_id"), F.coalesce("keeper", "content").alias("keeper"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return sig.join(known, "content", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+                                                     "text_key", "content", "keeper")
 
 
 def _pairs(df: DataFrame, u: str, v: str) -> DataFrame:

@@ -8,7 +8,7 @@ import pytest
 from cases import DOCS, doc, hard_documents, words
 from test_texts import BENCH, plain_classes, plain_hits, plain_repeats
 
-from tallywatch.llm import kdtree
+from tallywatch.llm import kdtree, neardup
 
 VECTORS = "vec_id long, embedding array<float>, label int, shard int, query_id long"
 
@@ -91,6 +91,24 @@ def test_stages_against_plain_versions(spark, tables, tmp_path):
         docs = after
 
 
+def test_near_copies_without_ids_and_unlike_texts_of_one_id(spark):
+    rng = random.Random(13)
+    text = lambda: [f"w{rng.randint(0, 100_000)}" for _ in range(150)]
+    rows, want = [], Counter()
+    for i in range(12):  # three near copies, one of them without id
+        base = text()
+        for j in range(3):
+            base[10 + 50 * j] = f"own{j}"
+            rows.append(doc(None if j == 1 else 10 * i + j, " ".join(base)))
+        want[10 * i] += 1
+    a, b = text(), text()
+    rows += [doc(900, " ".join(a)), doc(900, " ".join(b)), doc(901, " ".join([*a[:-1], "x"])), doc(902, " ".join([*b[:-1], "x"])), doc(900, ""), doc(900, " ".join(a)), doc(900, ", ".join(a))]
+    got = {(r.doc_id, r.class_id) for r in neardup.classes(spark.createDataFrame(rows, DOCS)).collect()}
+    assert got == {(k, 10 * i) for i in range(12) for k in (10 * i, None, 10 * i + 2)} | {(900, 900), (901, 900), (902, 900)}
+    kept = [(r.doc_id, tuple(words(r.text))) for r in corpus_pipeline.without_copies(spark, spark.createDataFrame(rows, DOCS), "").collect() if r.doc_id is not None]
+    assert Counter(i for i, _ in kept) == want + Counter({900: 3}) and {w for i, w in kept if i == 900} == {tuple(a), tuple(b), ()}
+
+
 def test_run_gives_what_the_stages_give(spark, tables):
     out = corpus_pipeline.run(spark, tables[0]).collect()
     assert out and {"doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"} == set(out[0].asDict())
