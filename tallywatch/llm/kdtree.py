@@ -14,6 +14,8 @@ from tallywatch.llm.words import ready
 LEAF = 64
 QUERY_BLOCK = 256
 SHARD_ROWS = 8192
+#: Queries that meet a shard in one task, about.
+ASKED_ROWS = 8192
 HITS = "query_id long, vec_id long, score long"
 NONE = np.iinfo(np.int64).min
 
@@ -92,12 +94,13 @@ def integers(embedding: str = "embedding"):
     return F.when(e.isNotNull() & ~bad, F.transform(e, lambda x: F.floor(x.cast("double") * 256.0).cast("double")))
 
 
-def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, shard_rows: int = SHARD_ROWS) -> DataFrame:
+def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, shard_rows: int = SHARD_ROWS, asked_rows: int = ASKED_ROWS) -> DataFrame:
     """query_id, rank, vec_id, score: each query's k highest inner products over all rows but its own.
 
     Both sides: vec_id, v (array of doubles holding whole numbers). Rows are dealt by hash into shards of about `shard_rows`;
-    each shard builds its tree once for all queries. First every query searches one shard; the kth score it finds goes with the
-    query to the other shards, where every box below it is passed by. The shards' best k are merged.
+    First every query searches one shard; the kth score it finds goes with the query to the other shards, where every box below it
+    is passed by. The shards' best k are merged. A task holds a shard and a block of about `asked_rows` queries, so that it does
+    not grow with the tables; the shard is sent, and its tree built, once for each block.
 
     Null v or null vec_id: takes no part. Vectors of another length than most: padded with zeros at the end (the inner product
     runs over common components). Rows of equal vec_id: each counts as a candidate; none of them is a candidate of their own query.
@@ -116,11 +119,12 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, shard_rows: int =
     floors = floors.select("query_id", F.when(F.col("n") >= k, F.col("s")).otherwise(F.lit(NONE)).alias("floor"))
     known = q.join(floors, "query_id", "left").select("query_id", "q", F.coalesce("floor", F.lit(NONE)).alias("floor"), home.alias("home"))
     others = F.filter(F.sequence(F.lit(0), F.lit(shards - 1)), lambda s: s != F.col("home"))
-    rest = _search(dealt, known.select("query_id", "q", "floor", F.explode(others).alias("shard")), k)
+    blocks = max(1, -(-q.count() // asked_rows))
+    rest = _search(dealt, known.select("query_id", "q", "floor", F.explode(others).alias("shard")), k, blocks)
     return _best(first.unionByName(rest), k)
 
 
-def _search(dealt: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+def _search(dealt: DataFrame, asked: DataFrame, k: int, blocks: int = 1) -> DataFrame:
     def run(rows: pa.Table, queries: pa.Table) -> pa.Table:
         found: list[tuple[int, int, int]] = []
         if len(rows) and len(queries):
@@ -135,7 +139,9 @@ def _search(dealt: DataFrame, asked: DataFrame, k: int) -> DataFrame:
         columns = list(zip(*found)) or [()] * 3
         return pa.table([pa.array(c, pa.int64()) for c in columns], ["query_id", "vec_id", "score"])
 
-    return dealt.groupBy("shard").cogroup(asked.groupBy("shard")).applyInArrow(run, HITS)
+    dealt = dealt.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    asked = asked.withColumn("block", F.pmod(F.xxhash64("query_id", F.lit(2)), F.lit(blocks)).cast("int"))
+    return dealt.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInArrow(run, HITS)
 
 
 def matrix(column: pa.ChunkedArray) -> np.ndarray:

@@ -40,6 +40,18 @@ def test_top_k(spark, shard_rows):
     assert Counter((r.query_id, r["rank"], r.vec_id, r.score) for r in out) == plain_top(rows)
 
 
+def test_top_k_in_blocks_of_queries(spark, monkeypatch):
+    """Queries meet the other shards in blocks, and the hits are those of plain search."""
+    rng = random.Random(5)
+    rows = [(i, [rng.randint(-64, 64) / 64 for _ in range(4)]) for i in range(3000)]
+    v = spark.createDataFrame([(*r, 1, 2, 3) for r in rows], VECTORS).select("vec_id", kdtree.integers().alias("v"))
+    kept, search = [], kdtree._search
+    monkeypatch.setattr(kdtree, "_search", lambda dealt, asked, k, blocks=1: kept.append((asked, blocks)) or search(dealt, asked, k, blocks))
+    out = kdtree.top_k(v, v.where("vec_id % 50 = 0"), 5, 1000, asked_rows=10).collect()
+    assert Counter((r.query_id, r["rank"], r.vec_id, r.score) for r in out) == plain_top(rows)
+    assert [b for _, b in kept] == [1, 6]
+
+
 def test_top_k_of_few(spark):
     for rows in ([], [(0, [1.0])], [(0, [1.0]), (7, [0.5])]):
         v = spark.createDataFrame([(*r, 1, 2, 3) for r in rows], VECTORS).select("vec_id", kdtree.integers().alias("v"))
