@@ -118,8 +118,11 @@ def remove_repeats(docs: DataFrame, window: int = 13, slab_bytes: int = SLAB_BYT
     `hot_slabs` slabs or more has its windows dealt by their own words, so a passage that a third of all documents share is spread.
 
     Null text or no words: nothing removed. Repeated rows have equal doc_ids, so neither removes the other's words. A null doc_id
-    counts as larger than all others. Texts shorter than a window are kept. Empty table: no rows. Words are compared by 64-bit hash.
+    counts as larger than all others. Texts shorter than a window are kept. Empty table: no rows. Words are compared by 64-bit hash. A window of more than FMIndex.DEPTH words:
+    ValueError, as suffixes are sorted by so many words only.
     """
+    if window > FMIndex.DEPTH:
+        raise ValueError(f"window is {window} words, at most {FMIndex.DEPTH} can be searched")
     ready(docs.sparkSession)
     total = max(1, text_bytes(docs, "text"))
     slabs, shards = -(-total // slab_bytes), -(-total // shard_bytes)

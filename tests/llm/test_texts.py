@@ -45,6 +45,11 @@ def test_no_repeats_without_documents(spark):
     assert substrings.remove_repeats(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_windows_beyond_the_sorted_depth_are_refused(spark):
+    with pytest.raises(ValueError):
+        substrings.remove_repeats(spark.createDataFrame([doc(1, "a")], DOCS), window=FMIndex.DEPTH + 1)
+
+
 def test_index_counts_like_a_scan():
     rng = np.random.RandomState(0)
     for sigma in (2, 5, 300):
