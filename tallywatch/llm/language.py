@@ -36,12 +36,9 @@ class Model:
     def __init__(self, languages: list[str], counts: np.ndarray):
         self.languages = languages
         total = counts.sum(axis=1)
-        most = total.max(initial=0)
         self.log = np.empty((BUCKETS, len(languages)), np.float32)
-        # Counts are brought to the total of the language with most: a trigram that a language has not shown costs the same in each,
-        # so that one of few texts does not draw what is foreign to all.
         for k, row in enumerate(counts):
-            self.log[:, k] = np.log((row * (most / max(1, total[k])) + 0.05) / (most + 0.05 * BUCKETS))
+            self.log[:, k] = np.log((row + 0.05) / (total[k] + 0.05 * BUCKETS))
 
     @classmethod
     def trigrams(cls, data: np.ndarray) -> np.ndarray:
