@@ -198,3 +198,54 @@ def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallywatch.llm import wrappers
 
     return wrappers.main_text(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+# ---- checksums in SQL ----
+#: DuckDB: crc_at(d, b, v): what byte b adds to the CRC-32 of a string in which d bytes follow; crc_start(d, v): a string of d zero bytes, before
+#: the last inversion. The checksum is linear, so that of a string is the exclusive or of its bytes' values.
+CRC_TABLES = """crc_bits(n, b, v) as (select 0, b, b from range(256) r(b) union all select n + 1, b, xor(v >> 1, 3988292384 * (v & 1)) from crc_bits where n < 8),
+    crc_byte as (select b, v from crc_bits where n = 8),
+    crc_at(d, b, v) as (select 0, b, v from crc_byte union all select d + 1, c.b, xor(c.v >> 8, t.v) from crc_at c join crc_byte t on t.b = c.v & 255 where d < 255),
+    crc_start(d, v) as (select 0, 4294967295 union all select d + 1, xor(c.v >> 8, t.v) from crc_start c join crc_byte t on t.b = c.v & 255 where d < 256)"""
+
+
+def crc_of(source: str) -> str:
+    """DuckDB: s, h: the unsigned CRC-32 of every string s (of at most 256 UTF-8 bytes, not empty) of the rows of `source`."""
+    return f"""(select s, xor(xor(any_value(z.v), bit_xor(t.v)), 4294967295) as h
+        from (select s, n, n - 1 - j as d, cast('0x' || substr(x, 2 * j + 1, 2) as bigint) as b from (select s, x, len(x) // 2 as n, unnest(range(len(x) // 2)) as j
+            from (select s, hex(encode(s)) as x from (select distinct s from {source})))) q
+        join crc_at t on t.d = q.d and t.b = q.b join crc_start z on z.d = q.n group by s)"""
+
+
+# ---- 11: document fingerprints ----
+def _fingerprint_sql() -> str:
+    from tallywatch.llm.fingerprints import K, S
+
+    w = K - S + 1
+    return f"""with recursive {CRC_TABLES}, d as (select doc_id, coalesce(text, '') as t from documents),
+    o as (select doc_id, t, length(t) as n, row_number() over (order by doc_id nulls last, md5(t)) as i, count(*) over () as m from d),
+    e as (select a.*, left(a.t, a.n - a.n // 4) || left(b.t, a.n // 4) as et, a.i % a.m + 1 as j from o a join o b on b.i = a.i % a.m + 1),
+    c as (select i, 0 as kind, t from e union all select i, 1, et from e),
+    b as (select i, kind, b, substr(t, 256 * b + 1, {256 + K - 1}) as t from (select *, unnest(range((length(t) + 255) // 256)) as b from c)),
+    g as (select i, kind, 256 * b + x as p, substr(t, x + 1, {S}) as s, substr(t, x + 1, {K}) as k
+        from (select *, unnest(range(least(256, length(t) - {S - 1}))) as x from b)),
+    v as {crc_of('g')},
+    h as (select i, kind, p, k, h, min(h) over q as least, lead(h, {w - 1}) over (partition by i, kind order by p) as edge
+        from g join v using (s) window q as (partition by i, kind order by p rows between current row and {w - 1} following)),
+    a as (select i, kind, k as s, p - coalesce(lag(p) over (partition by i, kind order by p), 0) as gap, p from h where edge is not null and least in (h, edge)),
+    every as (select * from a union all select i, kind, t, 0, 0 from c where t <> '' and (i, kind) not in (select (i, kind) from a)),
+    x as {crc_of('every')},
+    f as (select i, kind, list(printf('%08X%X', h, gap) order by p) as f from every join x using (s) group by i, kind),
+    y as (select e.*, coalesce(own.f, []) as f, coalesce(ed.f, []) as g, coalesce(nx.f, []) as k from e left join f own on own.i = e.i and own.kind = 0
+        left join f ed on ed.i = e.i and ed.kind = 1 left join f nx on nx.i = e.j and nx.kind = 0)
+    select doc_id, cast(n as bigint) as n_chars, sha256(et) as edited_sha256, array_to_string(f, '') as fingerprint, array_to_string(g, '') as edited_fingerprint,
+        case when len(f) + len(g) = 0 then 1.0::double else cast(2 * len(list_intersect(f, g)) as double) / (len(list_distinct(f)) + len(list_distinct(g))) end as near_edited,
+        case when len(f) + len(k) = 0 then 1.0::double else cast(2 * len(list_intersect(f, k)) as double) / (len(list_distinct(f)) + len(list_distinct(k))) end as near_next from y"""
+
+
+@register("op11_fingerprints", _fingerprint_sql())
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallywatch.llm import fingerprints
+
+    out = fingerprints.compare_edited(table(spark, sf_dir, "documents"))
+    return out.withColumn("edited", F.sha2("edited", 256)).withColumnRenamed("edited", "edited_sha256")
