@@ -249,3 +249,24 @@ def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     out = fingerprints.compare_edited(table(spark, sf_dir, "documents"))
     return out.withColumn("edited", F.sha2("edited", 256)).withColumnRenamed("edited", "edited_sha256")
+
+
+# ---- 12: hard negatives ----
+HARD_NEGATIVES_SQL = """with v as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v,
+        row_number() over () as row from embeddings where vec_id is not null and label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+    s as (select a.row as a, a.vec_id as anchor_id, c.row, c.vec_id as id, a.label = c.label as same, cast(list_inner_product(a.v, c.v) as bigint) as score
+        from v a join v c on a.vec_id <> c.vec_id where a.vec_id % 100 = 0),
+    p as (select *, row_number() over (partition by a order by score desc, id, row) as place from s where same qualify place <= 5),
+    n as (select p.a, p.place, p.anchor_id, p.id as positive_id, s.id as negative_id, p.score as positive_score, s.score as negative_score,
+        cast(row_number() over (partition by p.a, p.place order by s.score desc, s.id) as int) as rank
+        from p join s on s.a = p.a and not s.same and 80 * p.score <= 100 * s.score and 100 * s.score <= 100 * p.score qualify rank <= 5)
+    select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from n"""
+
+
+@register("op12_hard_negatives", HARD_NEGATIVES_SQL)
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallywatch.llm import kdtree, negatives
+
+    label = F.expr("if(vec_id % 7 = 0, (label + 1) % 10, label)")
+    vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("long").alias("vec_id"), label.alias("label"), kdtree.integers().alias("v"))
+    return negatives.hard_negatives(vectors, vectors.where("vec_id % 100 = 0"))
