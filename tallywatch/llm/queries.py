@@ -270,3 +270,28 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.expr("if(vec_id % 7 = 0, (label + 1) % 10, label)")
     vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("long").alias("vec_id"), label.alias("label"), kdtree.integers().alias("v"))
     return negatives.hard_negatives(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+# ---- 13: spelling variants ----
+SPELLING_SQL = f"""with recursive {CRC_TABLES},
+    r as (select coalesce(cast(doc_id as varchar), '') as d, unnest(regexp_extract_all({LOW}, '[a-zÀ-ÿ]{{7,}}')) as w from documents),
+    k as (select w, d || ':' || w as s from r), c as {crc_of('k')},
+    e as (select case when h % 31 = 0 then left(w, h % length(w)) || substr(w, h % length(w) + 2) else w end as word from k join c using (s)),
+    v as (select word, count(*) as n from e where length(word) >= 7 group by word having count(*) >= 2),
+    x as (select distinct word, n, left(word, i - 1) || substr(word, i + 1) as less from (select *, unnest(range(1, length(word) + 1)) as i from v)),
+    y as (select word, n, left(word, i - 1) || '_' || substr(word, i + 1) as mask from (select *, unnest(range(1, length(word) + 1)) as i from v)),
+    near as (select a.word, b.word as other, b.n as m from y a join y b on a.mask = b.mask and a.word <> b.word
+        union all select v.word, x.word, x.n from v join x on v.word = x.less union all select x.word, v.word, v.n from v join x on v.word = x.less),
+    g as (select word, count(*) as n_near, max(m) as best from near group by word),
+    f as (select v.word, v.n, coalesce(g.n_near, 0) as n_near, case when best >= 10 * v.n then (select min(other) from near where near.word = v.word and m = best) end as form,
+        case when best >= 10 * v.n then best end as form_n from v left join g on g.word = v.word),
+    way(word, upto, steps) as (select word, word, 0 from f union all select way.word, f.form, steps + 1 from way join f on f.word = way.upto and f.form is not null),
+    ends as (select word, max_by(upto, steps) as root from way group by word)
+    select f.word, form, root, cast(n as bigint) as n, cast(n_near as bigint) as n_near, cast(form_n as bigint) as form_n from f join ends using (word)"""
+
+
+@register("op13_spelling_variants", SPELLING_SQL)
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallywatch.llm import spelling
+
+    return spelling.variants(spelling.occurrences(table(spark, sf_dir, "documents")))
