@@ -87,6 +87,7 @@ def fit(labelled: DataFrame, sample_texts: int = SAMPLE_TEXTS) -> Model:
     there are. A label with fewer has no model: its documents are judged by the models of the others."""
     from pyspark.sql import Window as W
 
+    ready(labelled.sparkSession)
     labelled = labelled.where("lang is not null and lang <> '' and text is not null")
     # Copies count once: chances are taken over distinct texts, so that a language of mostly copies has its whole sample, too.
     labelled = labelled.withColumn("h", F.xxhash64("text"))

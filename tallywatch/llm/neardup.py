@@ -21,6 +21,8 @@ TABLE_BITS = 14
 GROUP = 1000
 #: Texts beside its centre that a bucket's unconnected texts are compared with.
 PIVOTS = 4
+#: Bits of the bitmap that rows pass before they are sent: 8 MB.
+SIEVE_BITS = 1 << 26
 
 _random = np.random.RandomState(7)
 _GAMMA_R = _random.gamma(2.0, 1.0, 1 << TABLE_BITS)
@@ -184,11 +186,42 @@ def signatures(docs: DataFrame, w: Weights, similarity: float = SIMILARITY) -> D
     return docs.select("doc_id", text_key(docs).alias("text_key"), "text").mapInArrow(run, "doc_id long, text_key long, content long, bands array<long>")
 
 
-def vectors(docs: DataFrame) -> DataFrame:
-    """content, shingles (ascending 64-bit hashes) and times (32-bit; empty if all are 1) as packed bytes, for texts with words."""
+class Sieve:
+    """A bitmap of SIEVE_BITS bits, whatever the number of keys, that tells which rows can't be wanted before they are sent anywhere.
+    Rows let through by chance do no harm, as exact joins follow; the more keys there are, the more of them pass."""
+
+    def __init__(self, keys: DataFrame, key: str):
+        place = F.pmod(F.col(key), F.lit(SIEVE_BITS))
+        rows = keys.groupBy(F.floor(place / 32768).alias("page")).agg(F.bitmap_construct_agg(place % 32768).alias("bits")).toArrow()
+        self.bits = np.zeros(SIEVE_BITS // 8, np.uint8)
+        for page, bits in zip(rows["page"].to_pylist(), rows["bits"].to_pylist()):
+            self.bits[page * 4096:(page + 1) * 4096] = np.frombuffer(bits, np.uint8)
+
+    def lets(self, column: pa.Array) -> pa.Array:
+        place = column.to_numpy() % SIEVE_BITS
+        return pa.array((self.bits[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool))
+
+
+def _sifted(rows: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """The rows whose key may be among the keys."""
+    shared = rows.sparkSession.sparkContext.broadcast(Sieve(keys, key))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(shared.value.lets(batch.column(key)))
+
+    return rows.mapInArrow(run, rows.schema)
+
+
+def vectors(docs: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+    """content, shingles (ascending 64-bit hashes) and times (32-bit; empty if all are 1) as packed bytes, for texts with words; with
+    `wanted` (row_key), only for rows that may have such a row_key."""
+    shared = None if wanted is None else docs.sparkSession.sparkContext.broadcast(Sieve(wanted, "row_key"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if shared is not None:
+                batch = batch.filter(shared.value.lets(batch.column("row_key")))
             for c in word_chunks(batch.column("text"), FOLDED, 1 << 20):
                 text, value, times = shingles(c)
                 content = run_hashes(c.hash, c.first[:-1], c.first[1:]).astype(np.int64)
@@ -197,7 +230,8 @@ def vectors(docs: DataFrame) -> DataFrame:
                 packed = [times[a:b].astype(np.int32).tobytes() if times[a:b].max() > 1 else b"" for _, a, b in own]
                 yield pa.RecordBatch.from_arrays([pa.array([k for k, _, _ in own], pa.int64()), pa.array([value[a:b].tobytes() for _, a, b in own], pa.binary()), pa.array(packed, pa.binary())], ["content", "shingles", "times"])
 
-    return docs.select("text").mapInArrow(run, "content long, shingles binary, times binary")
+    columns = ["text"] if wanted is None else ["row_key", "text"]
+    return docs.select(*columns).mapInArrow(run, "content long, shingles binary, times binary")
 
 
 def verified(pairs: DataFrame, vec: DataFrame, w: Weights) -> DataFrame:
@@ -216,6 +250,7 @@ def verified(pairs: DataFrame, vec: DataFrame, w: Weights) -> DataFrame:
                 out.append(common / (wa.sum() + wb.sum() - common))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(out, pa.float64())], ["a", "b", "similarity"])
 
+    vec = _sifted(vec, "content", pairs.select(F.explode(F.array("a", "b")).alias("content")))
     left = vec.select(F.col("content").alias("a"), F.col("shingles").alias("sa"), F.col("times").alias("ta"))
     right = vec.select(F.col("content").alias("b"), F.col("shingles").alias("sb"), F.col("times").alias("tb"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "ta", "sb", "tb").mapInArrow(run, "a long, b long, similarity double")
@@ -271,11 +306,11 @@ def placed(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     keyed = settle(texts.select("content", "text_id", "text_key", F.explode("bands").alias("bucket")))
     crowded = keyed.groupBy("bucket").agg(F.count("*").alias("m"), F.min("content").alias("centre")).where("m > 1")
     members = settle(keyed.join(crowded, "bucket").select("bucket", "content", "text_id", "text_key", "centre"))
-    chosen = settle(members.select("text_id", "text_key").distinct())
-    own = slim.withColumn("text_key", text_key(slim))
-    own = own.join(chosen, own["doc_id"].eqNullSafe(chosen["text_id"]) & (own["text_key"] == chosen["text_key"]), "left_semi")
-    # Rows repeated with id and text, or without id, are one vector.
-    vec = settle(vectors(own.groupBy("doc_id", "text_key").agg(F.first("text").alias("text"))))
+    # Texts stay where they are: each task makes the vectors of rows that a bitmap lets through. Rows repeated with id and text are one.
+    key = lambda i: F.xxhash64(i, "text_key").alias("row_key")
+    own = slim.withColumn("text_key", text_key(slim)).select(key("doc_id"), "text")
+    vec = vectors(own, members.select(key("text_id")))
+    vec = settle(vec.groupBy("content").agg(F.first(F.struct("shingles", "times")).alias("v")).select("content", "v.*"))
     links = _links(members.select("bucket", "content", "centre"), vec, w, similarity)
     label = components(links).withColumnRenamed("node", "content")
     degree = links.select(F.col("a").alias("content")).union(links.select("b")).groupBy("content").agg(F.count("*").alias("n_links"))
@@ -313,7 +348,7 @@ def _links(members: DataFrame, vec: DataFrame, w: Weights, similarity: float) ->
 
     def compare(pairs: DataFrame) -> None:
         nonlocal compared
-        new = settle(verified(pairs if compared is None else pairs.join(compared, ["a", "b"], "left_anti"), vec, w))
+        new = settle(verified(settle(pairs if compared is None else pairs.join(compared, ["a", "b"], "left_anti")), vec, w))
         links.append(new.where(F.col("similarity") >= similarity).select("a", "b"))
         compared = new if compared is None else compared.unionByName(new)
 
@@ -387,5 +422,6 @@ def _within(rows: DataFrame, vec: DataFrame, w: Weights, similarity: float) -> D
             columns = list(zip(*out)) or columns
         return pa.table([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
 
-    ready_rows = blocks.join(vec, "content").select("bucket", "block", "content", "label", "apart", "shingles", "times")
+    blocks = settle(blocks)
+    ready_rows = blocks.join(_sifted(vec, "content", blocks.select("content")), "content").select("bucket", "block", "content", "label", "apart", "shingles", "times")
     return ready_rows.groupBy("bucket", "block").applyInArrow(run, "a long, b long").distinct()

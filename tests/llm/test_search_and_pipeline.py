@@ -131,6 +131,36 @@ def test_stages_on_no_documents(spark, tables):
         assert stage(spark, spark.createDataFrame([], DOCS), tables[0]).count() == 0
 
 
+def test_columns_named_like_results_go_along(spark, tables):
+    own = "doc_id long, text string, lang string, source string, n_chars long, n_words long, removed string, kept string, n_removed long, hits string, matches string, carry0 string, `a.b` string"
+    rows = [(i, f"one two three {i}", "en", "s", 3, 4, "r", "k", 5, "h", "m", "c", "d") for i in range(4)]
+    docs = spark.createDataFrame(rows, own)
+    for name, stage in corpus_pipeline.STAGES[2:4]:
+        out = stage(spark, docs, tables[0])
+        assert out.columns == docs.columns, name
+        assert sorted(tuple(r)[5:] for r in out.collect()) == sorted(r[5:] for r in rows)
+
+
+def test_workers_need_no_installation():
+    """A session of its own, from a folder without the package: executors get the code before the first function runs there."""
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    code = f"""
+import sys
+sys.path.insert(0, {root!r})
+from tallywatch import session
+spark = session.build("local[2]", 2, **{{"spark.ui.enabled": "false", "spark.log.level": "ERROR"}})
+from tallywatch.llm import language
+docs = spark.createDataFrame([(f"the house number {{i}} is old", "en") for i in range(5)], "text string, lang string")
+print("languages", language.fit(docs).languages)
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd="/", env=env, capture_output=True, text=True, timeout=120)
+    assert "languages ['en']" in done.stdout, done.stderr[-2000:]
+
+
 def test_words_are_those_of_the_pattern():
     import pyarrow as pa
     from cases import UNSPACED
