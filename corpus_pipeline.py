@@ -48,25 +48,38 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return once.unionByName(kept.join(repeated, at(repeated), "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
+def _renamed(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """Columns beside doc_id and text under names that no operator gives its own results."""
+    names = {c: f"document column {i}" for i, c in enumerate(c for c in docs.columns if c not in ("doc_id", "text"))}
+    return docs.select("doc_id", "text", *[docs["`" + c.replace("`", "``") + "`"].alias(n) for c, n in names.items()]), names
+
+
+def _as_before(out: DataFrame, docs: DataFrame, names: dict[str, str]) -> DataFrame:
+    return out.select(*[out[f"`{names.get(c, c)}`"].cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
+
+
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the words of passages of 13 words that begin in a document with a smaller doc_id, too; the other
-    words are joined by one space where something was removed or not. n_chars counts what is left."""
-    others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    out = substrings.remove_repeats(docs, carry=others).withColumnRenamed("kept", "text")
-    if "n_chars" in others:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*[out[c].cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
+    words are joined by one space where something was removed or not. n_chars counts what is left. Null and empty texts: empty, kept. Rows of
+    equal doc_id do not shorten each other; null ids count as largest. Empty table: no rows. Further columns, whatever their names, go along."""
+    rows, names = _renamed(docs)
+    out = substrings.remove_repeats(rows, carry=list(names.values())).withColumnRenamed("kept", "text")
+    if "n_chars" in names:
+        out = out.withColumn(names["n_chars"], F.length("text"))
+    return _as_before(out, docs, names)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no ten consecutive words of a benchmark item stand (nor a whole shorter item)."""
-    found = contamination.occurrences(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), 10, carry=[c for c in docs.columns if c != "doc_id"])
-    clean = found.where(F.size("hits") == 0)
-    return clean.select(*[clean[c].cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
+    """Documents in which no ten consecutive words of a benchmark item stand (nor a whole shorter item). Null and empty texts stay, repeated
+    rows share their fate. Empty table: no rows. Further columns, whatever their names, go along."""
+    rows, names = _renamed(docs)
+    found = contamination.occurrences(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), 10, carry=["text", *names.values()])
+    return _as_before(found.where(F.size("hits") == 0), docs, names)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents in sequences of at most 4096 tokens."""
+    """Pieces of all documents in sequences of at most 4096 tokens. A null text is an empty one: the closing token alone. Repeated rows and
+    rows without doc_id are packed each. Empty table: no rows. Further columns are not looked at."""
     import public_tokenizers
 
     return digest_pieces(packing.pack(docs, public_tokenizers.path("word_bpe_49k.json")))
