@@ -1,11 +1,15 @@
 """Staging, extract, marts, load manifest."""
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tallywatch.operators import marts, staging
 from tallywatch.plans.catalog import query
+from tallywatch.session import settle, shared_dir
 from tallywatch.sources.adapters import ENTITIES, Raw
+from tallywatch.sources.tables import publish
 
 
 @query("stg_transfers", "select * exclude (last_modified) from z_tr")
@@ -71,6 +75,45 @@ def _(raw: Raw):
     return marts.mart_payments(staging.transfers(raw.transfers), staging.transactions(raw.transactions))
 
 
+def _published_cube(raw: Raw):
+    """The cube with its sketches, published by month and read back."""
+    path = f"{shared_dir(raw.spark)}/published/{uuid.uuid4().hex}"
+    publish(marts.mart_sketches(staging.transfers(raw.transfers), staging.transactions(raw.transactions)), path, "month")
+    return raw.spark.read.parquet(path)
+
+
+def _counted(raw: Raw, *keys: str):
+    """Merged estimates beside exact counts of the same groups."""
+    merged = settle(marts.merged_counts(_published_cube(raw), *keys))
+    labelled = marts.labelled_transfers(staging.transfers(raw.transfers), staging.transactions(raw.transactions)).withColumn("month", F.date_format("date", "yyyy-MM"))
+    exact = labelled.groupBy(*keys).agg(*[F.count_distinct(c).alias(f"exact_{m}") for m, c in marts.COUNTED.items()])
+    rows = merged.join(exact, list(keys))
+    close = [marts.within_error(F.col(m), F.col(f"exact_{m}")) for m in marts.COUNTED]
+    return rows.select(*keys, "transfers", "volume", *[F.col(f"exact_{m}").alias(m) for m in marts.COUNTED], (close[0] & close[1] & close[2]).alias("within_three_errors"))
+
+
+def _counted_sql(keys: str) -> str:
+    month = "strftime(date, '%Y-%m')"
+    picked = ", ".join(f"{month} as month" if k == "month" else k for k in keys.split())
+    return f"""select {picked}, count(*) as transfers, sum(amount) as volume, count(distinct transaction_hash) as transactions,
+        count(distinct from_address) as senders, count(distinct to_address) as receivers, true as within_three_errors from z_labelled group by all"""
+
+
+@query("payments_distinct_months", _counted_sql("month token"), rounds="volume:2")
+def _(raw: Raw):
+    return _counted(raw, "month", "token")
+
+
+@query("payments_distinct_bands", _counted_sql("token amount_band route"), rounds="volume:2")
+def _(raw: Raw):
+    return _counted(raw, "token", "amount_band", "route")
+
+
+@query("payments_distinct_tokens", _counted_sql("token"), rounds="volume:2")
+def _(raw: Raw):
+    return _counted(raw, "token")
+
+
 @query("mart_health", "select * from z_health", rounds="failure_rate median_fee_eth:12 total_fee_eth:12")
 def _(raw: Raw):
     return raw.health
