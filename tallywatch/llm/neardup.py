@@ -186,42 +186,25 @@ def signatures(docs: DataFrame, w: Weights, similarity: float = SIMILARITY) -> D
     return docs.select("doc_id", text_key(docs).alias("text_key"), "text").mapInArrow(run, "doc_id long, text_key long, content long, bands array<long>")
 
 
-class Sieve:
-    """A bitmap of SIEVE_BITS bits, whatever the number of keys, that tells which rows can't be wanted before they are sent anywhere.
-    Rows let through by chance do no harm, as exact joins follow; the more keys there are, the more of them pass."""
-
-    def __init__(self, keys: DataFrame, key: str):
-        place = F.pmod(F.col(key), F.lit(SIEVE_BITS))
-        rows = keys.groupBy(F.floor(place / 32768).alias("page")).agg(F.bitmap_construct_agg(place % 32768).alias("bits")).toArrow()
-        self.bits = np.zeros(SIEVE_BITS // 8, np.uint8)
-        for page, bits in zip(rows["page"].to_pylist(), rows["bits"].to_pylist()):
-            self.bits[page * 4096:(page + 1) * 4096] = np.frombuffer(bits, np.uint8)
-
-    def lets(self, column: pa.Array) -> pa.Array:
-        place = column.to_numpy() % SIEVE_BITS
-        return pa.array((self.bits[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool))
+def possible(rows: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """Adds `key may match`: whether the row's key may be among the keys, told by a bitmap of SIEVE_BITS bits, whatever the number of keys; so what
+    is broadcast has a fixed size. Rows let through by chance do no harm where an exact join follows; the more keys there are, the more pass."""
+    place = F.pmod(F.col(key), F.lit(SIEVE_BITS))
+    pages = keys.select(place.alias("place")).groupBy(F.floor(F.col("place") / 32768).alias("_page")).agg(F.bitmap_construct_agg(F.col("place") % 32768).alias("_bits"))
+    at = f"pmod(`{key}`, {SIEVE_BITS}L)"
+    bit = f"shiftright(cast(conv(hex(substring(_bits, cast(({at} % 32768) div 8 as int) + 1, 1)), 16, 10) as int), cast({at} % 8 as int)) & 1"
+    return rows.join(F.broadcast(pages), F.floor(place / 32768) == F.col("_page"), "left").withColumn("key may match", F.expr(f"coalesce({bit}, 0) = 1")).drop("_page", "_bits")
 
 
 def _sifted(rows: DataFrame, key: str, keys: DataFrame) -> DataFrame:
-    """The rows whose key may be among the keys."""
-    shared = rows.sparkSession.sparkContext.broadcast(Sieve(keys, key))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(shared.value.lets(batch.column(key)))
-
-    return rows.mapInArrow(run, rows.schema)
+    return possible(rows, key, keys).where("`key may match`").drop("key may match")
 
 
-def vectors(docs: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
-    """content, shingles (ascending 64-bit hashes) and times (32-bit; empty if all are 1) as packed bytes, for texts with words; with
-    `wanted` (row_key), only for rows that may have such a row_key."""
-    shared = None if wanted is None else docs.sparkSession.sparkContext.broadcast(Sieve(wanted, "row_key"))
+def vectors(docs: DataFrame) -> DataFrame:
+    """content, shingles (ascending 64-bit hashes) and times (32-bit; empty if all are 1) as packed bytes, for texts with words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if shared is not None:
-                batch = batch.filter(shared.value.lets(batch.column("row_key")))
             for c in word_chunks(batch.column("text"), FOLDED, 1 << 20):
                 text, value, times = shingles(c)
                 content = run_hashes(c.hash, c.first[:-1], c.first[1:]).astype(np.int64)
@@ -230,8 +213,7 @@ def vectors(docs: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
                 packed = [times[a:b].astype(np.int32).tobytes() if times[a:b].max() > 1 else b"" for _, a, b in own]
                 yield pa.RecordBatch.from_arrays([pa.array([k for k, _, _ in own], pa.int64()), pa.array([value[a:b].tobytes() for _, a, b in own], pa.binary()), pa.array(packed, pa.binary())], ["content", "shingles", "times"])
 
-    columns = ["text"] if wanted is None else ["row_key", "text"]
-    return docs.select(*columns).mapInArrow(run, "content long, shingles binary, times binary")
+    return docs.select("text").mapInArrow(run, "content long, shingles binary, times binary")
 
 
 def verified(pairs: DataFrame, vec: DataFrame, w: Weights) -> DataFrame:
@@ -306,10 +288,10 @@ def placed(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     keyed = settle(texts.select("content", "text_id", "text_key", F.explode("bands").alias("bucket")))
     crowded = keyed.groupBy("bucket").agg(F.count("*").alias("m"), F.min("content").alias("centre")).where("m > 1")
     members = settle(keyed.join(crowded, "bucket").select("bucket", "content", "text_id", "text_key", "centre"))
-    # Texts stay where they are: each task makes the vectors of rows that a bitmap lets through. Rows repeated with id and text are one.
+    # Texts stay where they are: vectors are made of rows that a bitmap lets through. Rows repeated with id and text are one.
     key = lambda i: F.xxhash64(i, "text_key").alias("row_key")
     own = slim.withColumn("text_key", text_key(slim)).select(key("doc_id"), "text")
-    vec = vectors(own, members.select(key("text_id")))
+    vec = vectors(_sifted(own, "row_key", members.select(key("text_id"))))
     vec = settle(vec.groupBy("content").agg(F.first(F.struct("shingles", "times")).alias("v")).select("content", "v.*"))
     links = _links(members.select("bucket", "content", "centre"), vec, w, similarity)
     label = components(links).withColumnRenamed("node", "content")
