@@ -40,12 +40,20 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     repeated = rows.join(again, (rows["doc_id"] == again["doc_id"]) & rows["content"].eqNullSafe(again["content"])).select(rows["doc_id"], "text_key", "least")
     repeated = settle(repeated.distinct())
     gone = settle(copies.union(repeated.where("text_key <> least").select("doc_id", "text_key")).distinct())
-    at = lambda other: (docs["doc_id"].cast("long") == other["doc_id"]) & (neardup.text_key(docs) == other["text_key"])
-    kept = docs.join(gone, at(gone), "left_anti")
-    if not repeated.limit(1).count():
-        return kept
-    once = kept.join(repeated, at(repeated), "left_anti")
-    return once.unionByName(kept.join(repeated, at(repeated), "left_semi").dropDuplicates(["doc_id", "text"]))
+    # Most texts stay where they are: only rows that a bitmap lets through are joined.
+    key = lambda i, t: F.xxhash64(i, t).alias("row key")
+    own = docs.select("*", docs["doc_id"].cast("long").alias("row id"), neardup.text_key(docs).alias("row text"))
+    own = own.select("*", key("row id", "row text"))
+    told = gone.union(repeated.select("doc_id", "text_key")).select(key("doc_id", "text_key"))
+    marked = neardup.possible(own, "row key", told)
+    names = [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
+    some = marked.where("`key may match`")
+    at = lambda other: (some["row id"] == other["doc_id"]) & (some["row text"] == other["text_key"])
+    kept = some.join(gone, at(gone), "left_anti")
+    if repeated.limit(1).count():
+        once = kept.join(repeated, at(repeated), "left_anti")
+        kept = once.unionByName(kept.join(repeated, at(repeated), "left_semi").dropDuplicates(["doc_id", "text"]))
+    return marked.where("not `key may match`").select(*names).unionByName(kept.select(*names))
 
 
 def _renamed(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
