@@ -25,6 +25,7 @@ class Tree:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, leaf: int = LEAF):
         self.ids, self.vectors = ids, vectors
+        self.most = np.abs(vectors).max(initial=0.0)
         self.low, self.high, self.least, self.child, self.rows = [], [], [], [], []
         self._build(np.arange(len(ids)), leaf)
         self.low, self.high, self.least = np.array(self.low), np.array(self.high), np.array(self.least)
@@ -54,10 +55,14 @@ class Tree:
         """The k best (score, id) but the query's own row; equal scores go to smaller ids. `floor`: the kth score known from
         elsewhere; what lies below it can't be among the best."""
         positive = query > 0
+        width = len(query)
+        # Below 2**53 sums of whole doubles are exact; beyond, scores are summed as integers and bounds get the rounding error on top.
+        exact = width * self.most * np.abs(query).max(initial=0.0) < 2.0**53
         best: list[tuple[int, int]] = []  # heap of (score, -id): the worst on top
 
         def bound(nodes):
-            return np.where(positive, self.high[nodes], self.low[nodes]) @ query
+            corner = np.where(positive, self.high[nodes], self.low[nodes])
+            return corner @ query if exact else corner @ query + np.abs(corner) @ np.abs(query) * (width * 2.0**-50)
 
         heap = [(-bound([0])[0], self.least[0], 0)]
         while heap:
@@ -74,7 +79,7 @@ class Tree:
                         heapq.heappush(heap, (-b, self.least[c], c))
                 continue
             rows = self.rows[node]
-            score = self.vectors[rows] @ query
+            score = self.vectors[rows] @ query if exact else whole(self.vectors[rows], query)
             for j in np.flatnonzero(score >= worst[0]):
                 i = int(self.ids[rows[j]])
                 if i == own:
@@ -87,6 +92,13 @@ class Tree:
         return [(s, -i) for s, i in best]
 
 
+def whole(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Inner products of whole numbers as 64-bit integers."""
+    if (np.abs(vectors) @ np.abs(query) >= 2.0**62).any():
+        raise OverflowError("inner products do not fit a long")
+    return vectors.astype(np.int64) @ query.astype(np.int64)
+
+
 def integers(embedding: str = "embedding"):
     """floor(256 * x) of every component as double; null for a vector that is null or holds a null or non-finite component."""
     e = F.col(embedding)
@@ -102,6 +114,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, shard_rows: int =
     is passed by. The shards' best k are merged. A task holds a shard and a block of about `asked_rows` queries, so that it does
     not grow with the tables; the shard is sent, and its tree built, once for each block.
 
+    Scores are exact up to 2**62, beyond which the job ends with an error. Of query rows with one vec_id the least vector is the query.
+
     Null v or null vec_id: takes no part. Vectors of another length than most: padded with zeros at the end (the inner product
     runs over common components). Rows of equal vec_id: each counts as a candidate; none of them is a candidate of their own query.
     Ties go to the smaller vec_id. Fewer than k candidates: all. Empty tables: no rows.

@@ -52,6 +52,20 @@ def test_top_k_in_blocks_of_queries(spark, monkeypatch):
     assert [b for _, b in kept] == [1, 6]
 
 
+def test_top_k_of_large_components_is_exact(spark):
+    """Scores beyond 2**53 differ by less than doubles tell apart."""
+    rng = random.Random(8)
+    rows = [(i, [float(rng.randint(750_000_000, 770_000_000)) for _ in range(4)]) for i in range(400)]
+    v = spark.createDataFrame(rows, "vec_id long, v array<double>")
+    for shard_rows in (10_000, 90):
+        out = kdtree.top_k(v, v.where("vec_id % 50 = 0"), 5, shard_rows).collect()
+        want = Counter()
+        for q, a in rows[::50]:
+            best = sorted((-sum(int(x) * int(y) for x, y in zip(a, b)), i) for i, b in rows if i != q)[:5]
+            want.update((q, n + 1, i, -s) for n, (s, i) in enumerate(best))
+        assert Counter((r.query_id, r["rank"], r.vec_id, r.score) for r in out) == want
+
+
 def test_top_k_of_few(spark):
     for rows in ([], [(0, [1.0])], [(0, [1.0]), (7, [0.5])]):
         v = spark.createDataFrame([(*r, 1, 2, 3) for r in rows], VECTORS).select("vec_id", kdtree.integers().alias("v"))
