@@ -12,6 +12,8 @@ from tallywatch.llm.words import FOLDED, U64, ranges, ready, text_bytes, word_ch
 
 #: A block of the benchmark is broadcast; its size is checked, and a larger benchmark is searched block by block.
 BLOCK_BYTES = 16 << 20
+#: Stands for a null item_id while texts are searched.
+NAMELESS = -1 << 62
 FOUND = "doc_id long, n_words long, hits array<struct<start:int,stop:int>>, matches array<struct<item_id:long,item_at:int,doc_at:int,length:int>>"
 
 
@@ -147,7 +149,7 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, window: int = 10, carry:
     hits are joined to longest matches. The benchmark is broadcast in blocks of BLOCK_BYTES; documents pass block by block.
 
     Null text or no words: no hits. Null doc_id: kept as null. Repeated rows: each gets its row. An item of fewer words than
-    `window`, but not none, must occur whole. Null item_id: its hits count, its id is left out of matches. Empty tables: no
+    `window`, but not none, must occur whole. Null item_id: its hits count, and its matches have a null item_id; all such items are one. Empty tables: no
     hits, or no rows. Other columns are not looked at.
     """
     spark = docs.sparkSession
@@ -159,7 +161,7 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, window: int = 10, carry:
     kinds = "".join(f", {a} {out.schema[a].dataType.simpleString()}" for a in along)
     for block in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect() if blocks > 1 else items.collect()
-        shared = spark.sparkContext.broadcast(sorted(((-1 << 62) if r["item_id"] is None else r["item_id"], r["text"]) for r in rows))
+        shared = spark.sparkContext.broadcast(sorted((NAMELESS if r["item_id"] is None else r["item_id"], r["text"]) for r in rows))
         last = block == blocks - 1
         out = out.mapInArrow(_pass(shared, window, block == 0, along if last else [*along, "text"]), FOUND + kinds + ("" if last else ", text string"))
     return out.select(*[c for c in out.columns if c not in along], *[out[a].alias(c) for c, a in zip(carry, along)])
@@ -170,7 +172,7 @@ def _pass(shared, window: int, start: bool, along: list[str]):
         suffixes = Suffixes(shared.value, window)
         for batch in batches:
             n_words, hits, matches = scan_block(suffixes, batch.column("text"))
-            matches = [[m for m in own if m["item_id"] != -1 << 62] for own in matches]
+            matches = [[m | {"item_id": None} if m["item_id"] == NAMELESS else m for m in own] for own in matches]
             if not start:
                 hits = [merged(a + b) for a, b in zip(batch.column("hits").to_pylist(), hits)]
                 matches = [a + b for a, b in zip(batch.column("matches").to_pylist(), matches)]

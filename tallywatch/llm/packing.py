@@ -1,6 +1,7 @@
 """Packing of documents into training sequences: sum-of-squares online packing."""
 from __future__ import annotations
 
+import json
 import re
 import struct
 from collections.abc import Iterator
@@ -17,6 +18,11 @@ PIECES = "doc_id long, start long, ids binary, doc_tokens long, sequence_id long
 #: What the fast way of splitting handles: printable ASCII, tab to carriage return, and letters of Latin-1. Others go whole to the tokenizer.
 SIMPLE = "[\t-\r -~À-ÖØ-öø-ÿ]*"
 PARTS = "'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\t-\r a-zß-öø-ÿ0-9]+"
+#: How a tokenizer must normalize and split for SIMPLE and PARTS to do the same. Texts of any other tokenizer go whole to it.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+SPLITTER = {"type": "Sequence", "pretokenizers": [{"type": "Split", "pattern": {"Regex": SPLIT}, "behavior": "Removed", "invert": True},
+                                                  {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
 MEMO_PARTS = 200_000
 #: Bytes of ids that a task holds before it hands pieces on.
 HELD_BYTES = 4 << 20
@@ -42,7 +48,8 @@ class Parts(dict):
 
 class Encoder:
     """Ids of whole texts, as little-endian unsigned 32-bit bytes. The tokenizer splits a text into parts and encodes each by
-    itself, so parts are encoded once and remembered (at most MEMO_PARTS of them, then the memory starts anew)."""
+    itself, so parts are encoded once and remembered (at most MEMO_PARTS of them, then the memory starts anew). A tokenizer that
+    normalizes, splits or marks special tokens otherwise than the known way gets whole texts."""
 
     def __init__(self, path: str, end_id: int):
         from tokenizers import Tokenizer
@@ -51,9 +58,16 @@ class Encoder:
         self.end = struct.pack("<I", end_id)
         self.simple, self.split = re.compile(SIMPLE).fullmatch, re.compile(PARTS).findall
         self.parts = Parts(self.tokenizer.model)
+        self.known = self._known()
+
+    def _known(self) -> bool:
+        t = self.tokenizer
+        said = [json.loads(part.__getstate__()) if part is not None else None for part in (t.normalizer, t.pre_tokenizer)]
+        marked = all("<|" in token.content for token in t.get_added_tokens_decoder().values())
+        return said == [NORMALIZER, SPLITTER] and marked and t.truncation is None and t.padding is None
 
     def ids(self, text: str) -> bytes:
-        if not self.simple(text) or "<|" in text:  # special tokens are found in the whole text
+        if not self.known or not self.simple(text) or "<|" in text:  # special tokens are found in the whole text
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
             return struct.pack(f"<{len(ids)}I", *ids) + self.end
         if len(self.parts) > MEMO_PARTS:
@@ -132,7 +146,7 @@ def joined(pieces: Iterator[tuple], size: int) -> Iterator[list]:
 
 
 def pack(docs: DataFrame, tokenizer: str, size: int = 4096, end_id: int = 2, most_open: int = 1024) -> DataFrame:
-    """Pieces of documents placed in sequences of at most `size` tokens.
+    """Pieces of documents placed in sequences of at most `size` tokens. `tokenizer`: the path of any file of the tokenizers library.
 
     Method: each task packs its own rows online. A document gives full windows and a rest; the rest goes to the fill level that
     minimises the sum of squared counts of partially filled windows. When more than `most_open` windows are open, and at the end

@@ -101,6 +101,14 @@ def test_contamination(spark, monkeypatch, block):
             assert any(w[m.doc_at:m.doc_at + m.length] == words(by_item[m.item_id])[m.item_at:m.item_at + m.length] for w in texts[r.doc_id])
 
 
+def test_items_without_id_count_as_one(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(12)) for c in "xy")
+    docs = spark.createDataFrame([doc(1, a + " " + b), doc(2, "none of it"), doc(3, b)], DOCS)
+    out = contamination.occurrences(docs, spark.createDataFrame([(None, a, 1), (None, b, 1), (4, b, 1)], BENCH)).collect()
+    got = {r.doc_id: (sum(h.stop - h.start for h in r.hits), {m.item_id for m in r.matches}) for r in out}
+    assert got == {1: (24, {None, 4}), 2: (0, set()), 3: (12, {None, 4})}
+
+
 def test_contamination_of_nothing(spark):
     docs, none = spark.createDataFrame(hard_documents(), DOCS), spark.createDataFrame([], BENCH)
     assert all(not r.hits for r in contamination.occurrences(docs, none).collect())
@@ -114,6 +122,16 @@ def test_longest_match(spark):
     assert (best.item_id, best.doc_id, best.doc_at, best.item_at, best.length) == (7, 2, 2, 0, 40)
 
 
+@pytest.mark.parametrize("name, known", [("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)])
+def test_ids_are_those_of_any_tokenizer(name, known):
+    path = public_tokenizers.path(name)
+    encoder, tok = packing.Encoder(path, 2), Tokenizer.from_file(path)
+    assert encoder.known == known
+    for text in ("Hello World, don't stop 123 times.", "", " a\t\nB ", "'S we'LL", "Ωmega é", "x <|endoftext|> y"):
+        ids = tok.encode(text, add_special_tokens=False).ids
+        assert encoder.ids(text) == struct.pack(f"<{len(ids) + 1}I", *ids, 2)
+
+
 @pytest.mark.parametrize("size, most_open", [(4096, 1024), (64, 8)])
 def test_packing_round_trip(spark, size, most_open):
     path = public_tokenizers.path("word_bpe_49k.json")
