@@ -1,8 +1,9 @@
 """Facts about every episode at once, from the raw rows of its peak day and of its comparable days.
 
-`days` (see `episodes.plan_days`) has one row per episode and day. It is joined to the raw rows once per fact group;
-the join prunes the days that are read. Rows are reduced per sender, hour or value before anything is ranked, and
-ranks keep only their first rows before the shuffle, so no task ever holds an episode's rows.
+`days` (see `episodes.plan_days`) has one row per episode and day. Raw transfers of the days that any episode uses are
+read once (`day_moves`) and reduced per day, not per episode: a day that many episodes use is not copied. Sums, ranks
+and histograms are taken per day, too, and only these few rows meet the episodes. Ranks keep only their first rows
+before the shuffle, so no task ever holds a day's rows.
 """
 from __future__ import annotations
 
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from tallywatch.fixed_values import LATE_HOURS, MIN_CALLS, ZERO40
 from tallywatch.functions.columns import single
 from tallywatch.functions.quantiles import exact_quantiles
-from tallywatch.session import settle
+from tallywatch.session import settle, settle_all
 
 LATE = (f"cast(cast(last_modified as timestamp) as bigint) - cast(cast(block_timestamp as timestamp) as bigint) "
         f"> {LATE_HOURS} * 3600")
@@ -38,6 +39,27 @@ def _moves(days: DataFrame, tr: DataFrame, *metrics: str) -> DataFrame:
     return tr.join(_of(days, *metrics), ["date", "token"])
 
 
+MOVE = ["date", "token", "hour", "from_address", "to_address", "amount"]
+
+
+def day_moves(days: DataFrame, tr: DataFrame) -> DataFrame:
+    """Transfers of all days that some episode needs: `moves` per hour, sender, receiver and amount, written once.
+
+    What it returned may be given again in place of the raw transfers, so fact groups share one raw pass.
+    """
+    if "moves" in tr.columns:
+        return tr
+    needed = _of(days, "transfers", "volume").select("date", "token").distinct()
+    rows = tr.withColumn("hour", F.expr("hour(block_timestamp)"))
+    have = [c for c in MOVE if c in rows.columns]
+    return settle(rows.select(*have).join(needed, ["date", "token"], "left_semi").groupBy(*have).agg(F.count(F.lit(1)).alias("moves")))
+
+
+def _per_day(days: DataFrame, reduced: DataFrame, metric: str) -> DataFrame:
+    """Rows reduced per day, given to every episode that uses the day."""
+    return reduced.join(_of(days, metric), ["date", "token"])
+
+
 def _top(df: DataFrame, by: list[str], k: int, *order) -> DataFrame:
     """The first k rows per group. The filter on row_number lets Spark drop the rest before the shuffle."""
     w = Window.partitionBy(*by).orderBy(*order)
@@ -128,8 +150,9 @@ def facts_failure(days: DataFrame, tx: DataFrame) -> DataFrame:
 
 def sends(days: DataFrame, tr: DataFrame) -> DataFrame:
     """Transfers per episode, day and sender."""
-    return (_moves(days, tr, "transfers").groupBy(*PEAK_AND_BASE, F.col("from_address").alias("sender"))
-            .agg(*aggs("count(*) as n", "count_if(amount < 1) as dust")))
+    per_sender = day_moves(days, tr).groupBy("date", "token", F.col("from_address").alias("sender")).agg(*aggs(
+        "sum(moves) as n", "sum(if(amount < 1, moves, 0)) as dust"))
+    return _per_day(days, per_sender, "transfers").select(*PEAK_AND_BASE, "sender", "n", "dust")
 
 
 def sends_by_sender(per_day: DataFrame) -> DataFrame:
@@ -155,6 +178,10 @@ def _daily_top10(per_day: DataFrame, value: str, name: str) -> DataFrame:
     """The sum of a day's ten largest, on the peak and on average over the comparable days that have rows."""
     best = _top(per_day, ["episode_id", "date"], 10, F.col(value).desc())
     daily = best.groupBy("episode_id", "date", "is_peak").agg(F.sum(value).alias("s"))
+    return _peak_and_usual(daily, name)
+
+
+def _peak_and_usual(daily: DataFrame, name: str) -> DataFrame:
     return daily.groupBy("episode_id").agg(*aggs(
         f"sum(s) filter (where is_peak) as {name}", f"avg(s) filter (where not is_peak) as {name}_baseline"))
 
@@ -170,17 +197,19 @@ def lost_top50(senders: DataFrame) -> DataFrame:
 
 
 def empty_hours(days: DataFrame, tr: DataFrame, least: int = 10) -> DataFrame:
-    hours = (_moves(days, tr, "transfers").groupBy("episode_id", "nb", F.expr("hour(block_timestamp)").alias("hour"))
-             .agg(*aggs("count_if(is_peak) as p", "count_if(not is_peak) as b")))
+    per_hour = day_moves(days, tr).groupBy("date", "token", "hour").agg(F.sum("moves").alias("n"))
+    hours = _per_day(days, per_hour, "transfers").groupBy("episode_id", "nb", "hour").agg(*aggs(
+        "sum(if(is_peak, n, 0)) as p", "sum(if(is_peak, 0, n)) as b"))
     return hours.groupBy("episode_id").agg(*aggs(f"count_if(p = 0 and b / nb >= {least}) as empty_hours"))
 
 
 def facts_transfers(days: DataFrame, tr: DataFrame) -> DataFrame:
-    per_day = settle(sends(days, tr))
+    moves = day_moves(days, tr)
+    per_day = settle(sends(days, moves))
     senders = sends_by_sender(per_day)
     out = _episodes_of(days, "transfers").drop("nb")
     for part in (counts_and_dust(per_day), new_senders(senders), top_senders(per_day), lost_top50(senders),
-                 empty_hours(days, tr)):
+                 empty_hours(days, moves)):
         out = out.join(part, "episode_id", "left")
     return out.fillna(0, ["transfers", "empty_hours", "new_sender_transfers", "new_sender_transfers_baseline"])
 
@@ -191,47 +220,66 @@ MINT, BURN = f"right(from_address, 40) = '{ZERO40}'", f"right(to_address, 40) =
 
 
 def supply_and_holders(days: DataFrame, tr: DataFrame) -> DataFrame:
-    rows = _moves(days, tr, "volume").selectExpr("episode_id", "nb", "is_peak", "amount", f"{MINT} as mint", f"{BURN} as burn")
-    return rows.groupBy("episode_id", "nb").agg(*aggs(
-        "sum(amount) filter (where is_peak) as volume",
-        "coalesce(sum(amount) filter (where is_peak and mint), 0.0D) as minted",
-        "coalesce(sum(amount) filter (where is_peak and burn), 0.0D) as burned",
-        "sum(amount) filter (where is_peak and not mint and not burn) as between_holders",
-        "count_if(is_peak) as transfers",
-        "sum(amount) filter (where not is_peak) / nb as baseline_avg",
-        "coalesce(sum(amount) filter (where not is_peak and (mint or burn)), 0.0D) / nb as supply_baseline_avg",
-        "sum(amount) filter (where not is_peak and not mint and not burn) / nb as between_holders_baseline_avg",
-        "count_if(not is_peak) / nb as transfers_baseline_avg")).drop("nb")
+    held = f"not ({MINT}) and not ({BURN})"
+    daily = day_moves(days, tr).groupBy("date", "token").agg(*aggs(
+        "sum(moves) as n", "sum(amount * moves) as v", f"sum(amount * moves) filter (where {MINT}) as mint",
+        f"sum(amount * moves) filter (where {BURN}) as burn", f"sum(amount * moves) filter (where {MINT} or {BURN}) as supply",
+        f"sum(amount * moves) filter (where {held}) as held"))
+    return _per_day(days, daily, "volume").groupBy("episode_id", "nb").agg(*aggs(
+        "sum(v) filter (where is_peak) as volume",
+        "coalesce(sum(mint) filter (where is_peak), 0.0D) as minted",
+        "coalesce(sum(burn) filter (where is_peak), 0.0D) as burned",
+        "sum(held) filter (where is_peak) as between_holders",
+        "sum(if(is_peak, n, 0)) as transfers",
+        "sum(v) filter (where not is_peak) / nb as baseline_avg",
+        "coalesce(sum(supply) filter (where not is_peak), 0.0D) / nb as supply_baseline_avg",
+        "sum(held) filter (where not is_peak) / nb as between_holders_baseline_avg",
+        "sum(if(is_peak, 0, n)) / nb as transfers_baseline_avg")).drop("nb")
+
+
+def _day_top10(rows: DataFrame, value: str, times: str = "1") -> DataFrame:
+    """Sum of the ten largest values per day, where a row stands for `times` equal values."""
+    day = Window.partitionBy("date", "token").orderBy(F.col(value).desc(), "rk")
+    best = _top(rows, ["date", "token"], 10, F.col(value).desc()).withColumn("rk", F.monotonically_increasing_id())
+    taken = best.withColumn("before", F.expr(f"sum({times})").over(day) - F.expr(times))
+    return taken.groupBy("date", "token").agg(F.expr(f"sum({value} * least({times}, greatest(10 - before, 0)))").alias("s"))
 
 
 def top_value(days: DataFrame, tr: DataFrame) -> DataFrame:
     """The ten largest transfers, senders and receivers by value."""
-    rows = _moves(days, tr, "volume").select(*PEAK_AND_BASE, "from_address", "to_address", "amount")
-    out = _daily_top10(rows, "amount", "top10_transfer_volume")
+    moves = day_moves(days, tr)
+    equal = moves.groupBy("date", "token", "amount").agg(F.sum("moves").alias("moves"))
+    out = _peak_and_usual(_per_day(days, _day_top10(equal, "amount", "moves"), "volume"), "top10_transfer_volume")
     for side, column in (("sender", "from_address"), ("receiver", "to_address")):
-        per_party = rows.groupBy("episode_id", "date", "is_peak", column).agg(F.sum("amount").alias("v"))
-        out = out.join(_daily_top10(per_party, "v", f"top10_{side}_volume"), "episode_id", "left")
+        per_party = moves.groupBy("date", "token", column).agg(F.expr("sum(amount * moves)").alias("v"))
+        daily = _day_top10(per_party, "v")
+        out = out.join(_peak_and_usual(_per_day(days, daily, "volume"), f"top10_{side}_volume"), "episode_id", "left")
     return out
 
 
 QUARTILES = [0.25, 0.5, 0.75]
 
 
-def amount_quartiles(days: DataFrame, tr: DataFrame, scale=None) -> tuple[DataFrame, DataFrame]:
+def amount_quartiles(days: DataFrame, tr: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Quartiles of the amounts: over the comparable days, and on the peak before and after each cut hour.
 
-    The 47 overlapping groups per episode are built from hourly histograms, so raw rows are read once and not
-    multiplied. `scale` multiplies amounts first (it plants faults).
+    Amounts are counted per day and hour. Episodes, and the 47 overlapping groups of each, are built from histograms of
+    these, so neither raw rows nor counts are multiplied.
     """
-    amount = F.col("amount") if scale is None else F.col("amount") * scale
-    rows = _moves(days, tr, "volume").select("episode_id", "is_peak", F.expr("hour(block_timestamp)").alias("hour"), amount.alias("amount"))
-    base = exact_quantiles(rows.where("not is_peak"), ["episode_id"], F.col("amount"), QUARTILES).selectExpr("episode_id", "q as usual")
+    amounts = day_moves(days, tr).groupBy("date", "token", "hour", "amount").agg(F.sum("moves").alias("moves"))
+    plan = _of(days, "volume").select("date", "token", "episode_id", "is_peak")
+
+    def usual_days(cells: DataFrame) -> DataFrame:
+        return cells.join(plan.where("not is_peak"), ["date", "token"])
 
     def around_cuts(cells: DataFrame) -> DataFrame:
-        return (cells.withColumn("cut", F.explode(F.expr("sequence(0, 23)")))
+        return (cells.join(plan.where("is_peak"), ["date", "token"]).withColumn("cut", F.explode(F.expr("sequence(0, 23)")))
                 .withColumn("tail", F.expr("hour >= cut")))
 
-    parts = exact_quantiles(rows.where("is_peak"), ["episode_id", "hour"], F.col("amount"), QUARTILES, within=around_cuts,
+    weight = F.col("moves")
+    base = exact_quantiles(amounts, ["date", "token"], F.col("amount"), QUARTILES, weight, within=usual_days,
+                           groups=["episode_id"]).selectExpr("episode_id", "q as usual")
+    parts = exact_quantiles(amounts, ["date", "token", "hour"], F.col("amount"), QUARTILES, weight, within=around_cuts,
                             groups=["episode_id", "cut", "tail"])
     cuts = parts.groupBy("episode_id", "cut").agg(*aggs(
         "max(q) filter (where tail) as tail_q", "max(q) filter (where not tail) as head_q", "max(total) filter (where tail) as n_tail"))
@@ -265,9 +313,10 @@ def units_shift(base: DataFrame, cuts: DataFrame, tol: float = 0.2, least: int =
 
 
 def facts_volume(days: DataFrame, tr: DataFrame) -> DataFrame:
-    base, cuts = (settle(df) for df in amount_quartiles(days, tr))   # a few rows per episode
+    moves = day_moves(days, tr)
+    base, cuts = settle_all(*(lambda df=df: df for df in amount_quartiles(days, moves)))   # a few rows per episode
     out = _episodes_of(days, "volume").drop("nb")
-    for part in (supply_and_holders(days, tr), top_value(days, tr), median_amounts(base, cuts), units_shift(base, cuts)):
+    for part in (supply_and_holders(days, moves), top_value(days, moves), median_amounts(base, cuts), units_shift(base, cuts)):
         out = out.join(part, "episode_id", "left")
     return out.fillna(0, ["transfers", "minted", "burned"])
 

@@ -259,8 +259,12 @@ piece("z_ufit", """
           where k <> 0 and list_max(list_transform(t, lambda x: abs(x - k))) < 0.45 and list_max(list_transform(hd, lambda x: abs(x))) < 0.45)
     group by 1""")
 def _(raw: Raw):
-    shifted = raw.transfers.withColumn("even", F.expr("datediff(date, date'1995-01-01') % 2 = 0 and hour(block_timestamp) >= 12"))
-    parts = facts.amount_quartiles(detected(raw).days, shifted, scale=F.expr("if(is_peak and even, 1000, 1)"))
+    # Shifted copies of the rows stand under names of their own, and peaks read these.
+    days = detected(raw).days.withColumn("token", F.expr("if(is_peak, concat(token, ' shifted'), token)"))
+    even = "datediff(date, date'1995-01-01') % 2 = 0 and hour(block_timestamp) >= 12"
+    copies = raw.transfers.withColumns({"token": F.expr("concat(token, ' shifted')"),
+                                        "amount": F.expr(f"if({even}, amount * 1000, amount)")})
+    parts = facts.amount_quartiles(days, raw.transfers.unionByName(copies))
     return facts.units_shift(*parts, tol=0.45, least=3)
 
 

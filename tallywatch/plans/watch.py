@@ -17,8 +17,9 @@ def all_facts(plan: DataFrame, days: DataFrame, tr: DataFrame, tx: DataFrame, bl
     groups do not depend on one another and run at the same time.
     """
     shared_dir(plan.sparkSession)
+    moves = facts.day_moves(days, tr)
     failures, transfers, volume, integrity, context = settle_all(
-        lambda: facts.facts_failure(days, tx), lambda: facts.facts_transfers(days, tr), lambda: facts.facts_volume(days, tr),
+        lambda: facts.facts_failure(days, tx), lambda: facts.facts_transfers(days, moves), lambda: facts.facts_volume(days, moves),
         lambda: facts.facts_integrity(days, tr, tx, bl, payments, health, pipeline),
         lambda: facts.facts_context(days, payments, health, pipeline, min_calls))
     behaviour = failures.unionByName(transfers, allowMissingColumns=True).unionByName(volume, allowMissingColumns=True)
