@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tallywatch.fixed_values import (BASELINE_BACK_DAYS, BASELINE_DAYS, BASELINE_MAX_SCORE, BASELINE_MIN_DAYS,
                                      EPISODE_GAP_DAYS, LAG_FACTOR, WAVE_GAP_DAYS)
 from tallywatch.functions.columns import ratio, single
+from tallywatch.functions.positions import with_position
 
 SERIES = ["metric", "token", "direction"]
 
@@ -73,10 +74,10 @@ def rewritten_days(flagged: DataFrame) -> DataFrame:
 def issues(pipeline: DataFrame, payments: DataFrame) -> DataFrame:
     """Days to check before explaining any move: block problems first, then the longest delay."""
     moved = payments.groupBy("date").agg(F.sum("transfers").alias("transfers"))
-    return (day_flags(pipeline).where(F.col("pipeline") != "OK")
-            .join(pipeline.select("date", "missing_blocks", "duplicate_blocks", "max_load_lag_hours"), "date")
-            .join(moved, "date", "left")
-            .orderBy(F.col("pipeline") == "Late or rewritten", F.col("max_load_lag_hours").desc(), "date"))
+    found = (day_flags(pipeline).where(F.col("pipeline") != "OK")
+             .join(pipeline.select("date", "missing_blocks", "duplicate_blocks", "max_load_lag_hours"), "date")
+             .join(moved, "date", "left"))
+    return with_position(found, F.col("pipeline") == "Late or rewritten", F.col("max_load_lag_hours").desc(), "date").orderBy("position")
 
 
 def waves(eps: DataFrame, gap_days: int = WAVE_GAP_DAYS) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tallywatch.fixed_values import LAG_FACTOR, MIN_CALLS
 from tallywatch.functions.columns import beside, single
+from tallywatch.functions.positions import rolling
 from tallywatch.functions.quantiles import array_median
 from tallywatch.operators.facts import aggs
 
@@ -116,7 +117,7 @@ def rolling7(payments: DataFrame, health: DataFrame) -> DataFrame:
 
 
 def rolling_source_share(pipeline: DataFrame) -> DataFrame:
-    """Entity transfers as a share of the source's rows over seven days. One row per day over the whole history."""
-    days = pipeline.select("date", "stablecoin_transfers", "source_transfer_rows", F.lit(1).alias("all_days"))
-    w = Window.partitionBy("all_days").orderBy("date").rowsBetween(-6, 0)
-    return days.select("date", F.try_divide(F.sum("stablecoin_transfers").over(w), F.sum("source_transfer_rows").over(w)).alias("share7"))
+    """Entity transfers as a share of the source's rows over seven days: one row per day over the whole history."""
+    days = pipeline.select("date", "stablecoin_transfers", "source_transfer_rows")
+    sums = rolling(days, 7, "date", ours="sum(stablecoin_transfers)", theirs="sum(source_transfer_rows)")
+    return sums.selectExpr("date", "try_divide(ours, theirs) as share7")

@@ -118,13 +118,14 @@ def rules_daily(tr: DataFrame, tx: DataFrame, bl: DataFrame, entities: dict[str,
 
 
 def rules_summary(daily: DataFrame) -> DataFrame:
+    """One row per rule with its place in the list of rules."""
     rank = F.expr("case check " + " ".join("when '{}' then {}".format(c.replace("'", "\\'"), i)
                                            for i, (c, _, _) in enumerate(ROW_RULES)) + " end")
     hit = "filter (where violations > 0)"
     return (daily.groupBy("check", F.col("table").alias("tbl"), "fault").agg(
         F.sum("checked").alias("rows_checked"), F.sum("violations").alias("violations"),
         F.expr("count_if(violations > 0) as days_affected"), F.expr(f"min(date) {hit} as first_day"),
-        F.expr(f"max(date) {hit} as last_day"), F.expr(f"min(example) {hit} as example")).orderBy(rank))
+        F.expr(f"max(date) {hit} as last_day"), F.expr(f"min(example) {hit} as example")).withColumn("position", (rank + 1).cast("long")).orderBy("position"))
 
 
 def rules_totals(summary: DataFrame) -> DataFrame:

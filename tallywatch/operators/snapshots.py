@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tallywatch.fixed_values import DUE_HOURS, ENTITY_ADDRESSES, LATE_HOURS, PUBLISHED_MEASURES, SNAPSHOT_MEASURES, UNIT_SCALE
 from tallywatch.functions.columns import beside, entity_of
+from tallywatch.functions.positions import with_position
 
 KEY = ["source_table", "date"]
 TIMES = ("first_written", "last_written")
@@ -147,7 +148,8 @@ def new_events(events: DataFrame, previous: DataFrame | None) -> DataFrame:
 
 def event_listing(events: DataFrame, kinds: tuple[str, ...] = ("late", "changed", "republished")) -> DataFrame:
     rank = F.expr("case kind when 'republished' then 0 when 'changed' then 1 else 2 end")
-    return events.where(F.col("kind").isin(*kinds)).orderBy(rank, F.col("seen_at").desc(), F.col("date").desc(), "source_table")
+    chosen = events.where(F.col("kind").isin(*kinds))
+    return with_position(chosen, rank, F.col("seen_at").desc(), F.col("date").desc(), "source_table").orderBy("position")
 
 
 def source_status(snaps: DataFrame, manifest: DataFrame, events: DataFrame) -> DataFrame:

@@ -82,12 +82,21 @@ def _alike(spark: SparkSession, path: str, parts: list[str]) -> list[DataFrame]:
     return [df for group in groups.values() for df in _alike(spark, path, group)]
 
 
+def _on_days(parts: list[str], days: DataFrame) -> list[str]:
+    """The folders of wanted days. The driver reads back at most as many names as it has listed."""
+    listed = days.sparkSession.createDataFrame([(x,) for x in parts], "part string")
+    days = days.select(F.concat(F.lit("date="), F.col("date").cast("string")).alias("part"))
+    found = {row.part for row in listed.join(days, "part", "left_semi").collect()}
+    return [x for x in parts if x in found]
+
+
 def scan(spark: SparkSession, path: str, schema: T.StructType | None = None, months: list[str] | None = None,
          days: DataFrame | None = None, with_file: bool = False) -> DataFrame:
     """A day-partitioned table, tolerant of drift: columns merged by name, absent columns null, absent table empty.
 
     `months` ('YYYY-MM') chooses the folders, so files of other months are neither listed nor opened.
-    `days` is a frame with a `date` column: a semi-join whose small, written side prunes partitions at run time.
+    `days` is a frame with a `date` column: folders of other days are not opened, not even for their schema, so columns that
+    only other days have are absent. A semi-join with the written list keeps the days' rows of tables without folders.
     With a schema, files of unlike physical types are read in groups and cast before they meet.
     """
     if not _exists(spark, path):
@@ -96,6 +105,10 @@ def scan(spark: SparkSession, path: str, schema: T.StructType | None = None, mon
         return spark.createDataFrame([], schema)
     names = [x for x in _children(spark, path) if x.startswith("date=")] if not path.endswith(".parquet") else []
     parts = [x for x in names if not months or x[5:12] in months]
+    if days is not None:
+        days = settle(days.select("date").distinct())
+        if parts:
+            parts = _on_days(parts, days)
     if names and not parts:
         return spark.createDataFrame([], schema) if schema is not None else spark.read.parquet(path).limit(0)
     groups = _alike(spark, path, parts) if parts else [spark.read.parquet(path)]
@@ -109,7 +122,7 @@ def scan(spark: SparkSession, path: str, schema: T.StructType | None = None, mon
         out = df if out is None else out.unionByName(df, allowMissingColumns=True)
     if days is not None:
         # The comparison makes the day list count as selective, which dynamic partition pruning asks for.
-        wanted = settle(days.select("date").distinct()).where(F.col("date") > F.lit("1900-01-01").cast("date"))
+        wanted = days.where(F.col("date") > F.lit("1900-01-01").cast("date"))
         out = out.join(wanted, "date", "left_semi")
     return out
 

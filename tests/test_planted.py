@@ -3,6 +3,7 @@ import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallywatch.operators import episodes, facts, gates, rules, snapshots
 from tallywatch.plans import watch
@@ -150,6 +151,22 @@ def test_published_table_prunes_and_replaces(spark, tmp_path):
     assert scan(spark, str(tmp_path / "absent"), schema_of("blocks")).count() == 0
 
 
+def test_scan_of_days_opens_their_folders_only(spark, tmp_path):
+    """A thousand folders, all but three with a file that is no Parquet: the three days are read all the same."""
+    days = [dt.date(2021, 1, 1) + dt.timedelta(days=i) for i in range(1000)]
+    good = [days[5], days[500], days[999]]
+    spark.createDataFrame([(d, i) for i, d in enumerate(good)], "date date, v int").write.partitionBy("date").parquet(str(tmp_path / "t"))
+    for d in set(days) - set(good):
+        (tmp_path / "t" / f"date={d}").mkdir()
+        (tmp_path / "t" / f"date={d}" / "part-0.parquet").write_text("not parquet")
+    wanted = spark.createDataFrame([(d,) for d in [*good, good[0], None, dt.date(1999, 1, 1)]], "date date")
+    for schema in (None, T.StructType.fromDDL("date date, v bigint, absent string")):
+        got = scan(spark, str(tmp_path / "t"), schema, days=wanted)
+        assert sorted((r.date, r.v) for r in got.collect()) == [(d, i) for i, d in enumerate(good)]
+    nothing = scan(spark, str(tmp_path / "t"), T.StructType.fromDDL("date date, v bigint"), days=wanted.where("date < '2000-01-01'"))
+    assert nothing.count() == 0
+
+
 def test_keep_others(spark):
     old = spark.createDataFrame([("2024-01", 1), ("2024-02", 1)], "month string, v int")
     new = spark.createDataFrame([("2024-02", 2, "x")], "month string, v int, extra string")
@@ -162,6 +179,25 @@ def test_top_k_is_cut_before_the_shuffle(spark):
     assert "WindowGroupLimit" in facts.top_value(days, tr)._jdf.queryExecution().executedPlan().toString()
 
 
+def test_fact_groups_share_one_raw_pass(spark, tmp_path, monkeypatch):
+    """The raw folder is scanned once, by the shared reduction; the facts of value and of transfers read what it wrote."""
+    days, peak, base = volume_plan(spark)
+    both = days.unionByName(days.withColumn("metric", F.lit("transfers")).withColumn("episode_id", F.lit("f")))
+    rows = [(d, dt.datetime.combine(d, dt.time(h)), "A", f"s{h % 3}", "r", float(v)) for d in [*base, peak] for h in range(24)
+            for v in (1, 1, 1, 7, 7, 50, h)]
+    spark.createDataFrame(rows, "date date, block_timestamp timestamp_ntz, token string, from_address string, to_address string, amount double"
+                          ).write.partitionBy("date").parquet(str(tmp_path / "raw"))
+    tr = spark.read.parquet(str(tmp_path / "raw"))
+    moves = facts.day_moves(both, tr)
+    top = facts.top_value(both, tr).first()
+    assert top.top10_transfer_volume == 500 and top.top10_sender_volume == sum(range(24)) + 24 * 67
+    for out in (facts.facts_volume(both, tr), facts.facts_transfers(both, tr), facts.facts_volume(both, moves)):
+        assert not [f for f in out.inputFiles() if "/raw/" in f]
+    monkeypatch.setattr(facts, "settle", lambda df: df)
+    plan = facts.day_moves(both, tr)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("/raw]") == 1
+
+
 def test_whole_investigation_finds_a_dust_wave(spark):
     """Twenty weeks of even traffic, then one day of dust from many senders."""
     n = spark.range(20 * 7 * 40).selectExpr("cast(id / 40 as int) as d", "cast(id % 40 as int) as i")
