@@ -232,11 +232,11 @@ def largest_transfers(tr: DataFrame, k: int = 10) -> DataFrame:
 
 
 def mint_burn_match(events: DataFrame, tol: float = 1e-9, scale: float = 1e6) -> DataFrame:
-    """Each token's largest event, the burn that returned it, a smaller correct mint, and a burn that came before.
+    """Each token's largest mint, the burn that returned it, a smaller correct mint, and a burn that came before.
 
     One row per token meets that token's events once, and only aggregates leave the join: no pairs are listed.
     """
-    big = events.groupBy("token").agg(F.expr(
+    big = events.where("kind = 'mint'").groupBy("token").agg(F.expr(
         "max_by(struct(amount, block_timestamp, counterparty, kind, transaction_hash), struct(amount, -unix_micros(cast(block_timestamp as timestamp)), transaction_hash)) as big"))
 
     def close(a: str, b: str) -> str:
@@ -302,6 +302,11 @@ def rewrite_summary(patterns: DataFrame, blocks: DataFrame) -> DataFrame:
     return beside(days, tables, partial)
 
 
+def on_sample(df: DataFrame, sample: DataFrame) -> DataFrame:
+    """The rows of the sampled rewritten days; the written list prunes partitions."""
+    return df.join(settle(sample.select("date").distinct()), "date", "left_semi")
+
+
 def late_rows(df: DataFrame) -> DataFrame:
     return df.withColumn("late", F.expr(LATE))
 

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallywatch.operators import episodes, facts, gates, rules, snapshots
+from tallywatch.operators import deep_dive, episodes, facts, gates, rules, snapshots
 from tallywatch.plans import watch
 from tallywatch.sources.tables import keep_others, publish, scan, schema_of
 
@@ -221,3 +221,20 @@ def test_whole_investigation_finds_a_dust_wave(spark):
     assert [(r.metric, r.direction, str(r.peak_date), r.rule, r.confidence) for r in rows] == [("transfers", "up", "2024-04-30", "dust", "strong")]
     assert rows[0].investigated and flagged.count() == 0
     assert watch.nested_facts(wide).first().behaviour.transfers == 440
+
+
+def test_mistaken_mint_at_the_real_tolerance(spark):
+    """The largest mint counts, not a larger burn; only equal amounts (to a billionth) of the same party are matched."""
+    at = lambda h: T0 + dt.timedelta(hours=h)
+    rows = [(at(0), "A", "burn", 5e6, "b0", "y"), (at(1), "A", "mint", 5e12, "m1", "x"), (at(2), "A", "burn", 5e12 * (1 + 1e-8), "b1", "x"),
+            (at(2), "A", "burn", 5e12, "b2", "z"), (at(3), "A", "burn", 5e12, "b3", "x"), (at(4), "A", "mint", 5e6, "m2", "x"),
+            (at(5), "A", "mint", 5.1e6, "m3", "x"), (at(6), "A", "burn", 9e13, "b4", "x"),
+            (at(1), "N", "mint", 7e12, "m4", "x"), (at(2), "N", "mint", 7e6, "m5", "y"), (at(0), "N", "burn", 7e6, "b5", "y"),
+            (at(1), "R", "burn", 7e12, "b6", "x")]
+    events = spark.createDataFrame(rows, "block_timestamp timestamp_ntz, token string, kind string, amount double, transaction_hash string, counterparty string")
+    got = {r.token: r for r in deep_dive.mint_burn_match(events).collect()}
+    assert set(got) == {"A", "N"}
+    a, n = got["A"], got["N"]
+    assert (a.amount, a.at, a.burned_at, a.minutes_until_burned, a.smaller_mint_at, a.earlier_burns, a.earlier_burn_at) == (
+        5e12, at(1), at(3), 120.0, at(4), 1, at(0))
+    assert (n.burned_at, n.smaller_mint_at, n.earlier_burns, n.earlier_burn_at) == (None, None, 0, None)
