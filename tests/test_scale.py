@@ -52,3 +52,12 @@ def test_marts_are_written_when_needed(spark):
     payments, pipeline = found.marts("payments", "pipeline")
     assert payments.first().mart == "payments" and pipeline.first().mart == "pipeline" and sorted(asked) == ["payments", "pipeline"]
     assert found.health.count() == 3 and found.payments.count() == 3 and sorted(asked) == ["health", "payments", "pipeline"]
+
+
+def test_cube_shuffles_transfers_once(spark, tmp_path):
+    tr, tx = cube_of(spark, tmp_path)
+    cube = marts.mart_payments(tr.drop("from_address", "to_address"), tx, distinct=None)
+    got = {(r.date, r.token, r.amount_band, r.route): (r.transfers, r.volume) for r in cube.collect()}
+    assert got == {k: (len(v), sum(a for *_, a in v if a is not None) if any(a is not None for *_, a in v) else None) for k, v in cells().items()}
+    keyed = [line for line in plan_text(cube).splitlines() if "HashAggregate" in line and "transaction_hash" in line.split("functions=")[0]]
+    assert not keyed   # no shuffle of rows folded per hash before that of the join
