@@ -61,3 +61,14 @@ def test_cube_shuffles_transfers_once(spark, tmp_path):
     assert got == {k: (len(v), sum(a for *_, a in v if a is not None) if any(a is not None for *_, a in v) else None) for k, v in cells().items()}
     keyed = [line for line in plan_text(cube).splitlines() if "HashAggregate" in line and "transaction_hash" in line.split("functions=")[0]]
     assert not keyed   # no shuffle of rows folded per hash before that of the join
+
+
+def test_values_of_a_mart_are_shuffled_once(spark, tmp_path):
+    """All four uses of the counted fees read one exchange."""
+    spark.range(2000).selectExpr("date_add(date'2024-01-01', cast(id % 5 as int)) as date", "if(id % 9 = 0, null, 'A') as direct_token",
+                                 "id % 4 > 0 as succeeded", "rand(3) as fee_eth").write.parquet(str(tmp_path / "tx"))
+    health = marts.mart_health(spark.read.parquet(str(tmp_path / "tx")))
+    assert health.count() == 5
+    health.collect()
+    final = plan_text(health).split("Initial Plan")[0]
+    assert final.count("FileScan") == 2 and final.count("ReusedExchange") >= 3   # sums, counted fees
