@@ -72,3 +72,15 @@ def test_values_of_a_mart_are_shuffled_once(spark, tmp_path):
     health.collect()
     final = plan_text(health).split("Initial Plan")[0]
     assert final.count("FileScan") == 2 and final.count("ReusedExchange") >= 3   # sums, counted fees
+
+
+def test_rows_in_doubt_are_read_once(spark, tmp_path):
+    days = [("e", dt.date(2024, 1, d), d == 9) for d in (1, 2, 9)] + [("base only", dt.date(2024, 1, 1), False)]
+    spark.createDataFrame([(e, d, p, 1.5 * i, k, i % 3 == 0, i % 2 == 0) for e, d, p in days for i, k in enumerate(["x", "x", None, "y", "z"])],
+                          "episode_id string, date date, is_peak boolean, amount double, k string, late boolean, failed boolean").write.parquet(str(tmp_path / "r"))
+    out = facts._rows_in_doubt(spark.read.parquet(str(tmp_path / "r")), "k")
+    got = {r.episode_id: r for r in out.collect()}
+    e, b = got["e"], got["base only"]
+    assert (e.pct_rows_late, e.duplicate_rows, e.n, e.amount, e.rate) == (40.0, 2, 5.0, 15.0, 0.6) and abs(e.pct_failed_rows_late - 100 / 3) < 1e-9
+    assert e.pct_rows_late_baseline == b.pct_rows_late_baseline == 40.0 and b.n is None and b.duplicate_rows is None and b.pct_rows_late is None
+    assert plan_text(out).split("Initial Plan")[0].count("FileScan") == 1
