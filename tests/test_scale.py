@@ -84,3 +84,11 @@ def test_rows_in_doubt_are_read_once(spark, tmp_path):
     assert (e.pct_rows_late, e.duplicate_rows, e.n, e.amount, e.rate) == (40.0, 2, 5.0, 15.0, 0.6) and abs(e.pct_failed_rows_late - 100 / 3) < 1e-9
     assert e.pct_rows_late_baseline == b.pct_rows_late_baseline == 40.0 and b.n is None and b.duplicate_rows is None and b.pct_rows_late is None
     assert plan_text(out).split("Initial Plan")[0].count("FileScan") == 1
+
+
+def test_exact_counts_copy_no_rows(spark, tmp_path):
+    tr, tx = cube_of(spark, tmp_path)
+    cube = marts.mart_payments(tr, tx, distinct="exact")
+    got = {(r.date, r.token, r.amount_band, r.route): (r.transfers, r.transactions, r.senders, r.receivers) for r in cube.collect()}
+    assert got == {k: (len(v), *(len({x[i] for x in v} - {None}) for i in range(3))) for k, v in cells().items()}
+    assert "Expand" not in plan_text(cube)
