@@ -92,3 +92,15 @@ def test_exact_counts_copy_no_rows(spark, tmp_path):
     got = {(r.date, r.token, r.amount_band, r.route): (r.transfers, r.transactions, r.senders, r.receivers) for r in cube.collect()}
     assert got == {k: (len(v), *(len({x[i] for x in v} - {None}) for i in range(3))) for k, v in cells().items()}
     assert "Expand" not in plan_text(cube)
+
+
+def test_estimates_and_exact_counts_share_one_join(spark, tmp_path, monkeypatch):
+    tr, tx = cube_of(spark, tmp_path)
+    joins, plain = [], marts.spread_join
+    monkeypatch.setattr(marts, "spread_join", lambda *a, **k: joins.append(a) or plain(*a, **k))
+    monkeypatch.setattr(q_marts.staging, "transfers", lambda x: x)
+    monkeypatch.setattr(q_marts.staging, "transactions", lambda x: x)
+    rows = q_marts._counted(SimpleNamespace(spark=spark, transfers=tr.where("date is not null"), transactions=tx), "token", "route")
+    got = {(r.token, r.route): (r.transfers, r.transactions, r.senders, r.receivers, r.within_three_errors) for r in rows.collect()}
+    assert got == {("A", "direct"): (3, 2, 1, 2, True), ("A", "via contract"): (2, 2, 1, 1, True), ("R", "via contract"): (1, 1, 1, 1, True)}
+    assert len(joins) == 1 and "Expand" not in plan_text(rows)
