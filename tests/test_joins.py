@@ -45,6 +45,35 @@ def test_spread_join_is_a_left_join_whose_tasks_are_even(spark):
     assert "SortMergeJoin" in plan and "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+def test_tasks_of_a_spread_join_follow_the_rows(spark, monkeypatch):
+    """Adaptive execution would merge these partitions into a few; a task's sort must not grow with the table. Repeated and null keys on both sides."""
+    rows = hot_rows(spark)
+    unique = (rows.select("k").distinct().union(spark.createDataFrame([("k6",), ("k7",), ("alone",)], "k string"))
+              .withColumn("w", F.concat(F.lit("w"), "k")))
+    want = Counter(map(tuple, rows.join(unique, "k", "left").collect()))
+    total = ROWS + unique.count()
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        monkeypatch.setattr(joins, "FEW", 0, raising=False)
+        for size in (1000, 3000):
+            monkeypatch.setattr(joins, "ROWS_PER_TASK", size, raising=False)
+            got = joins.spread_join(rows, unique, "k").cache()
+            assert got.columns == ["k", "v", "w"] and Counter(map(tuple, got.collect())) == want
+            per_task = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+            assert total / size * 0.7 < len(per_task) <= -(-total // size) and max(per_task) < 2 * size
+            got.unpersist()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_few_right_rows_are_left_to_the_planner(spark, monkeypatch):
+    monkeypatch.setattr(joins, "ROWS_PER_TASK", 1000, raising=False)
+    few = spark.createDataFrame([("hot", "w"), ("k1", "x")], "k string, w string")
+    plan = joins.spread_join(hot_rows(spark), few, "k")._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" not in plan
+
+
 def test_sketches_merge_over_days_and_routes(spark):
     """A hash with a third of the transfers; receivers that come again each day, so daily counts don't add up."""
     day = F.date_add(F.lit(dt.date(2024, 1, 1)), (F.col("id") % 60).cast("int"))
