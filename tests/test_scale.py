@@ -1,6 +1,6 @@
 """Shapes of the plans that the large tables need: what is shuffled, read and written, and how often."""
 import datetime as dt
-from collections import defaultdict
+from collections import Counter, defaultdict
 from types import SimpleNamespace
 
 from pyspark.sql import functions as F
@@ -120,6 +120,22 @@ def test_rows_in_doubt_are_read_once(spark, tmp_path):
     assert plan_text(out).split("Initial Plan")[0].count("FileScan") == 1
 
 
+def test_sends_fold_raw_rows_by_sender_alone(spark, monkeypatch):
+    """The same rows as from the shared moves, without writing these. Null and repeated senders, amounts, days."""
+    ts = dt.datetime(2024, 1, 31, 5)
+    tr = spark.createDataFrame([(d, t, s, r, a, ts) for d, t, _, a, s, r in ROWS * 2], "date date, token string, from_address string, to_address string, amount double, block_timestamp timestamp_ntz")
+    days = spark.createDataFrame([("e", "transfers", DAY, "A", True, False, 3), ("f", "transfers", DAY, "A", False, True, 2), ("v", "volume", DAY, "R", True, False, 1)],
+                                 "episode_id string, metric string, date date, token string, is_peak boolean, is_latest boolean, nb long")
+    moves = facts.day_moves(days, tr)
+    written = []
+    monkeypatch.setattr(facts, "settle", lambda df: written.append(df.columns) or df)
+    raw, shared = facts.sends(days, tr), facts.sends(days, moves)
+    assert not written and raw.dtypes == shared.dtypes
+    got = Counter(map(tuple, raw.collect()))
+    assert got == Counter(map(tuple, shared.collect()))
+    assert got == Counter((e, DAY, peak, not peak, nb, s, n, 0) for e, peak, nb in (("e", True, 3), ("f", False, 2)) for s, n in (("s1", 6), (None, 2)))
+
+
 def test_values_of_a_mart_are_shuffled_once(spark, tmp_path):
     """All four uses of the counted fees read one exchange."""
     spark.range(2000).selectExpr("date_add(date'2024-01-01', cast(id % 5 as int)) as date", "if(id % 9 = 0, null, 'A') as direct_token",
